@@ -24,5 +24,6 @@ def parse_number_text(text: Column, dtype: str = "double") -> Column:
 
 
 def is_open_ended(text: Column) -> Column:
-    """True for counts such as ``"2.5+"`` ("this many or more")."""
-    return _bare_text(text).rlike(r"^[0-9.,]+\+$")
+    """True for counts such as ``"2.5+"`` ("this many or more"), false for other text, null for none."""
+    marked = _bare_text(text).endswith("+") & parse_number_text(text).isNotNull()
+    return F.when(text.isNotNull(), marked)

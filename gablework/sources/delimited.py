@@ -57,14 +57,28 @@ def read_delimited(
     """
     if isinstance(schema, str):
         schema = _parse_datatype_string(schema)
+    text = read_text(spark, path, schema.names if schema is not None else None, dialect)
+    return apply_types(text, infer_types(text, dialect) if schema is None else schema, dialect, on_bad)
+
+
+def read_text(
+    spark: SparkSession, path: str | list[str], names: Sequence[str] | None = None, dialect: Dialect = PANDAS
+) -> DataFrame:
+    """All columns as text, missing-value tokens already null.
+
+    Files that belong together can be stacked as text and typed once for all of them.
+    """
     reader = spark.read.options(
         header=True, sep=dialect.sep, quote='"', escape='"', multiLine=dialect.multi_line, mode="PERMISSIVE"
     )
-    if schema is not None:
-        reader = reader.schema(StructType([StructField(f.name, StringType()) for f in schema]))
-    text = blank_tokens(reader.csv(path), dialect.na_tokens)
-    if schema is None:
-        schema = infer_types(text, dialect)
+    if names is not None:
+        reader = reader.schema(StructType([StructField(n, StringType()) for n in names]))
+    return blank_tokens(reader.csv(path), dialect.na_tokens)
+
+
+def apply_types(
+    text: DataFrame, schema: StructType, dialect: Dialect = PANDAS, on_bad: str = "error"
+) -> DataFrame:
     return text.select(*[_typed(f, dialect, on_bad).alias(f.name) for f in schema])
 
 

@@ -37,7 +37,7 @@ LINEITEM_FEATURES = (
     "l_extendedprice",
     "l_discount",
     "l_tax",
-    "l_linenumber",
+    "line_number",
     "unit_price",
     "ship_year",
     "ship_month",
@@ -49,8 +49,9 @@ LINEITEM_FEATURES = (
 def lineitem_features(spark: SparkSession, folder: str) -> DataFrame:
     """Row key, numeric features and label; nothing else is read from the scan."""
     return priced_lineitem(spark, folder).select(
-        *[c for c in LINEITEM_KEY if c not in LINEITEM_FEATURES],
-        *[F.col(c).cast("double").alias(c) for c in LINEITEM_FEATURES[:5]],
+        *LINEITEM_KEY,
+        *LINEITEM_FEATURES[:4],
+        F.col("l_linenumber").cast("double").alias("line_number"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         F.year("l_shipdate").cast("double").alias("ship_year"),
         F.month("l_shipdate").cast("double").alias("ship_month"),
