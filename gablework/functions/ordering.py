@@ -8,6 +8,7 @@ partitioned window; what crosses block borders is one small row per block.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -48,11 +49,11 @@ def fit_order_blocks(df: DataFrame, order_by: Sequence[str], n_blocks: int | Non
 
     Two pruned passes: row count and key ranges, then quantiles of the position.
     """
-    ranges = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.min(_whole(df, name)).alias(f"low{i}") for i, name in enumerate(order_by) if _is_whole(df, name)],
-        *[F.max(_whole(df, name)).alias(f"high{i}") for i, name in enumerate(order_by) if _is_whole(df, name)],
-    ).first()
+    ends = [F.count(F.lit(1)).alias("rows")]
+    for i, name in enumerate(order_by):
+        key = _whole(df, name) if _is_whole(df, name) else F.col(quoted(name))
+        ends += [F.min(key).alias(f"low{i}"), F.max(key).alias(f"high{i}")]
+    ranges = df.agg(*ends).first()
     position = _position(df, order_by, ranges.asDict())
     if n_blocks is None:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -90,7 +91,9 @@ def _position(df: DataFrame, order_by: Sequence[str], ranges: dict) -> Column:
     head = order_by[0]
     dtype = df.schema[head].dataType
     if isinstance(dtype, StringType):
-        lead = F.rpad(F.hex(F.substring(F.encode(F.col(quoted(head)), "UTF-8"), 1, 6)), 12, "0")
+        # Six bytes after what all values share, read as one whole number.
+        start = _shared_bytes(ranges["low0"] or "", ranges["high0"] or "") + 1
+        lead = F.rpad(F.hex(F.substring(F.encode(F.col(quoted(head)), "UTF-8"), start, 6)), 12, "0")
         return F.coalesce(F.conv(lead, 16, 10).cast("double"), F.lit(-math.inf))
     if not _is_whole(df, head):
         if not isinstance(dtype, NumericType):
@@ -114,6 +117,11 @@ def _position(df: DataFrame, order_by: Sequence[str], ranges: dict) -> Column:
     return position
 
 
+def _shared_bytes(low: str, high: str) -> int:
+    """Length of the common start of the least and greatest value, so of all values."""
+    return len(os.path.commonprefix([low.encode(), high.encode()]))
+
+
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str, blocks: OrderBlocks | None = None) -> DataFrame:
     """1-based row number along ``order_by`` without a one-task sort of the rows."""
     blocks = blocks or fit_order_blocks(df, order_by)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gablework.functions.missing import is_missing, present, quoted
 from gablework.functions.ordering import number_rows
@@ -29,8 +30,9 @@ def encode_mapping(
     ``on_unmapped``: ``"null"``, ``"error"``, or a default code. A missing category
     stays missing.
     """
-    lookup = df.sparkSession.createDataFrame([Row(category=k, code=v) for k, v in mapping.items()], _LOOKUP)
-    small = _is_small([(k, v) for k, v in mapping.items()])
+    pairs = list(mapping.items())
+    lookup = df.sparkSession.createDataFrame(pairs, _LOOKUP)
+    small = _is_small(pairs)
     return _look_up(df, column, F.broadcast(lookup) if small else lookup, output or column, on_unmapped)
 
 
@@ -64,10 +66,10 @@ def fit_target_order(df: DataFrame, column: str, target: str) -> TargetOrder:
     spark: SparkSession = df.sparkSession
     head = means.limit(BROADCAST_ROWS + 1).collect()
     if _is_small(head):
-        local = spark.createDataFrame(head, means.schema)
-        by_mean = Window.orderBy(F.asc_nulls_last("mean_target"), "category")
-        ranked = local.withColumn("code", F.row_number().over(by_mean))
-        return TargetOrder(column, spark.createDataFrame(ranked.collect(), ranked.schema), True)
+        head.sort(key=lambda r: (r["mean_target"] is None, r["mean_target"] or 0.0, r["category"]))
+        schema = StructType([*means.schema.fields, StructField("code", IntegerType())])
+        ranked = [(*row, place) for place, row in enumerate(head, start=1)]
+        return TargetOrder(column, spark.createDataFrame(ranked, schema), True)
     # A category whose target is never known sorts last, as in the small case.
     ordered = means.withColumn("_mean", F.coalesce("mean_target", F.lit(float("inf"))))
     return TargetOrder(column, number_rows(ordered, ["_mean", "category"], "code").drop("_mean"), False)

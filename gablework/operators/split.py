@@ -32,7 +32,12 @@ def hash_split(
     for weight in weights:
         reached += weight
         bounds.append(round(STEPS * reached / sum(weights)))
-    return [df.filter((number >= low) & (number < high)) for low, high in zip(bounds, bounds[1:])]
+    parts = []
+    for low, high in zip(bounds, bounds[1:]):
+        # The outermost bounds always hold; without them most parts hash each row once.
+        part = df if low == 0 else df.filter(number >= low)
+        parts.append(part if high == STEPS else part.filter(number < high))
+    return parts
 
 
 def with_fold(df: DataFrame, key: Sequence[str], k: int = 3, seed: int = 667, name: str = "fold") -> DataFrame:

@@ -443,14 +443,19 @@ QUERIES["rf_chi_squared"] = _predictions("forest_chi_squared")
 QUERIES["rf_pca"] = _predictions("forest_pca")
 
 
-def _grid(recipe: str) -> Query:
+def _grid(name: str) -> Query:
+    """The grid's cross-validated errors, and the refitted winner's error on the hold-out."""
+
     def build(spark: SparkSession, folder: str) -> DataFrame:
-        train, _ = _train_and_test(spark, folder)
+        train, test = _train_and_test(spark, folder)
+        recipe = rc.RECIPES[name](_inputs())
         try:
-            found = tuning.grid_search(rc.RECIPES[recipe](_inputs()), train, "fold")
+            found = tuning.grid_search(recipe, train, "fold")
+            model = tuning.refit_best(recipe, train, found)
         finally:
             train.unpersist()
-        return spark.createDataFrame(found.rows(), tuning.GRID_SCHEMA)
+        error = model.transform(test).agg(evaluate.rmse(LINEITEM_LABEL)).first()[0]
+        return spark.createDataFrame(found.rows(error), tuning.GRID_SCHEMA)
 
     return build
 
@@ -465,7 +470,7 @@ def compare_recipes(spark: SparkSession, folder: str) -> DataFrame:
     train, test = _train_and_test(spark, folder)
     try:
         models = {name: rc.fit_recipe(make(_inputs()), train) for name, make in rc.RECIPES.items()}
-        report = tuning.compare_recipes(models, {"train": train, "test": test}, LINEITEM_LABEL)
+        report = tuning.compare_recipes(models, {"train": train.drop("fold"), "test": test}, LINEITEM_LABEL)
         scores = report.collect()  # one row per recipe and part
     finally:
         train.unpersist()
