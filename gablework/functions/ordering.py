@@ -28,6 +28,7 @@ _EXACT_DOUBLE = 2.0**53
 class OrderBlocks:
     position: Column
     edges: tuple[float, ...]
+    null_keys: bool = True  # whether the leading sort key may be null
 
     def label(self, df: DataFrame, name: str) -> DataFrame:
         """Add the block number of every row; equal positions share a block."""
@@ -49,22 +50,23 @@ def fit_order_blocks(df: DataFrame, order_by: Sequence[str], n_blocks: int | Non
 
     Two pruned passes: row count and key ranges, then quantiles of the position.
     """
-    ends = [F.count(F.lit(1)).alias("rows")]
+    ends = [F.count(F.lit(1)).alias("rows"), F.count(quoted(order_by[0])).alias("keyed")]
     for i, name in enumerate(order_by):
         key = _whole(df, name) if _is_whole(df, name) else F.col(quoted(name))
         ends += [F.min(key).alias(f"low{i}"), F.max(key).alias(f"high{i}")]
     ranges = df.agg(*ends).first()
     position = _position(df, order_by, ranges.asDict())
+    null_keys = ranges["keyed"] < ranges["rows"]
     if n_blocks is None:
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         n_blocks = max(4 * tasks, math.ceil(ranges["rows"] / ROWS_PER_BLOCK))
     n_blocks = max(1, min(n_blocks, MAX_BLOCKS, ranges["rows"]))
     if n_blocks == 1:
-        return OrderBlocks(position, ())
+        return OrderBlocks(position, (), null_keys)
     shares = [i / n_blocks for i in range(1, n_blocks)]
     cuts = df.select(position.alias("position")).approxQuantile("position", shares, 1 / (4 * n_blocks))
     edges = sorted({cut for cut in cuts if math.isfinite(cut)})
-    return OrderBlocks(position, tuple(edges))
+    return OrderBlocks(position, tuple(edges), null_keys)
 
 
 def _is_whole(df: DataFrame, name: str) -> bool:

@@ -77,8 +77,9 @@ def fill_along(
     pick, nearest = (F.last, F.max_by) if forward else (F.first, F.min_by)
     within = Window.partitionBy("_block").orderBy(*keys).rowsBetween(*seen)
 
-    # A lone key (not a struct) lets numeric columns aggregate by hash.
-    order = F.col(quoted(order_by[0])) if len(order_by) == 1 else F.struct(*[F.col(quoted(c)) for c in order_by])
+    # A lone key lets numeric columns aggregate by hash; a struct also orders null keys.
+    lone = len(order_by) == 1 and not blocks.null_keys
+    order = F.col(quoted(order_by[0])) if lone else F.struct(*[F.col(quoted(c)) for c in order_by])
     ends = labelled.groupBy("_block").agg(
         *[
             nearest(present(df, c), F.when(present(df, c).isNotNull(), order)).alias(f"_end{i}")
