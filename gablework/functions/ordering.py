@@ -13,17 +13,26 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, IntegralType, NumericType, StringType, TimestampType
 
 from gablework.functions.missing import quoted
 
-ROWS_PER_BLOCK = 2_000_000
+ROWS_PER_TASK = 2_000_000
 MAX_BLOCKS = 16_384
 _EXACT_DOUBLE = 2.0**53
 
 
+def shuffle_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def tasks_for(spark: SparkSession, rows: int) -> int:
+    """Partitions that keep a task's share of the rows sortable in memory, if the session asks for fewer."""
+    return max(shuffle_tasks(spark), math.ceil(rows / ROWS_PER_TASK))
+
+
 @dataclass(frozen=True)
 class OrderBlocks:
     position: Column
@@ -58,8 +67,7 @@ def fit_order_blocks(df: DataFrame, order_by: Sequence[str], n_blocks: int | Non
     position = _position(df, order_by, ranges.asDict())
     null_keys = ranges["keyed"] < ranges["rows"]
     if n_blocks is None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        n_blocks = max(4 * tasks, math.ceil(ranges["rows"] / ROWS_PER_BLOCK))
+        n_blocks = max(4 * shuffle_tasks(df.sparkSession), tasks_for(df.sparkSession, ranges["rows"]))
     n_blocks = max(1, min(n_blocks, MAX_BLOCKS, ranges["rows"]))
     if n_blocks == 1:
         return OrderBlocks(position, (), null_keys)

@@ -12,9 +12,9 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from gablework.functions.missing import is_missing, present, quoted
 from gablework.functions.ordering import number_rows
 
-# A lookup is broadcast only below both bounds, measured on the table itself.
+# A lookup is collected and broadcast only within both bounds: at most 8 MB of names.
 BROADCAST_ROWS = 20_000
-BROADCAST_BYTES = 8 << 20
+LONGEST_NAME = 400  # bytes
 _LOOKUP = "category string, code int"
 
 
@@ -32,7 +32,7 @@ def encode_mapping(
     """
     pairs = list(mapping.items())
     lookup = df.sparkSession.createDataFrame(pairs, _LOOKUP)
-    small = _is_small(pairs)
+    small = len(pairs) <= BROADCAST_ROWS and all(len(k.encode()) <= LONGEST_NAME for k in mapping)
     return _look_up(df, column, F.broadcast(lookup) if small else lookup, output or column, on_unmapped)
 
 
@@ -64,8 +64,8 @@ def fit_target_order(df: DataFrame, column: str, target: str) -> TargetOrder:
         .agg(F.avg(present(df, target)).alias("mean_target"))
     )
     spark: SparkSession = df.sparkSession
-    head = means.limit(BROADCAST_ROWS + 1).collect()
-    if _is_small(head):
+    head = _bounded_rows(means)
+    if head is not None:
         head.sort(key=lambda r: (r["mean_target"] is None, r["mean_target"] or 0.0, r["category"]))
         schema = StructType([*means.schema.fields, StructField("code", IntegerType())])
         ranked = [(*row, place) for place, row in enumerate(head, start=1)]
@@ -75,8 +75,14 @@ def fit_target_order(df: DataFrame, column: str, target: str) -> TargetOrder:
     return TargetOrder(column, number_rows(ordered, ["_mean", "category"], "code").drop("_mean"), False)
 
 
-def _is_small(rows: list) -> bool:
-    return len(rows) <= BROADCAST_ROWS and sum(len(str(r[0]).encode()) + 32 for r in rows) <= BROADCAST_BYTES
+def _bounded_rows(means: DataFrame) -> list | None:
+    """The rows, or None if there are too many or a name is too long to hold them."""
+    size = F.octet_length(F.col("category").cast("string"))
+    name = F.when(size <= LONGEST_NAME, F.col("category")).alias("category")
+    rows = means.select(name, "mean_target").limit(BROADCAST_ROWS + 1).collect()
+    if len(rows) > BROADCAST_ROWS or any(r["category"] is None for r in rows):
+        return None
+    return rows
 
 
 def _look_up(df: DataFrame, column: str, lookup: DataFrame, output: str, on_unmapped: str | int) -> DataFrame:

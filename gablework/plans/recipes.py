@@ -10,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 
-from gablework.functions.missing import quoted
+from gablework.functions.spreading import spread_rows
 from gablework.operators import features as ft
 
 SEED = 666
@@ -127,19 +127,14 @@ RECIPES: dict[str, Callable[[Inputs], Recipe]] = {
 }
 
 
-def stable_rows(df: DataFrame, key: Sequence[str], partitions: int | None = None) -> DataFrame:
-    """Rows in a partitioning and order that depend on the data alone, kept for reuse.
+def stable_rows(df: DataFrame, rows: int | None = None, partitions: int | None = None) -> DataFrame:
+    """Training rows in a partitioning that depends on the data alone, kept for reuse.
 
     Trees draw their samples partition by partition in row order, so equal seeds give
     equal models only over equal partitions. One shuffle buys that for all fits made on
-    the result; ``unpersist`` it after them.
+    the result; ``unpersist`` it after them. ``rows`` is an upper bound of the row count.
     """
-    partitions = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    columns = list(map(quoted, key))
-    # Every column breaks ties, so rows that share a key still have one order.
-    rest = [quoted(c) for c in df.columns if c not in key]
-    ordered = df.repartition(partitions, *columns).sortWithinPartitions(*columns, *rest)
-    return ordered.persist(StorageLevel.MEMORY_AND_DISK)
+    return spread_rows(df, rows, partitions).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_recipe(recipe: Recipe, train: DataFrame) -> PipelineModel:

@@ -419,7 +419,8 @@ def _inputs() -> rc.Inputs:
 
 def _train_and_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     train, test = split.hash_split(lineitem_features(spark, folder), LINEITEM_KEY)
-    return rc.stable_rows(split.with_fold(train, LINEITEM_KEY), LINEITEM_KEY), test
+    rows = table(spark, folder, "lineitem").count()  # from file footers
+    return rc.stable_rows(split.with_fold(train, LINEITEM_KEY), rows), test
 
 
 def _predictions(recipe: str) -> Query:

@@ -140,7 +140,7 @@ def test_prepared_table_trains_every_recipe_input(spark, files):
     inputs = hp.house_inputs(table, top=16, components=9)
     assert len(inputs.columns) == 31
     train, test = hash_split(table, ["Id"])
-    train = rc.stable_rows(train, ["Id"], 2)
+    train = rc.stable_rows(train, partitions=2)
     spread = test.selectExpr(f"stddev_pop({hp.LABEL})").first()[0]
     from gablework.operators.evaluate import rmse
 

@@ -143,7 +143,7 @@ def test_broadcast_only_for_measured_small_lookups(priced, monkeypatch):
         return frame._jdf.queryExecution().optimizedPlan().toString()
 
     assert "strategy=broadcast" in plan()
-    monkeypatch.setattr(encode, "BROADCAST_BYTES", 10)
+    monkeypatch.setattr(encode, "LONGEST_NAME", 0)
     assert "strategy=broadcast" not in plan()
 
 
