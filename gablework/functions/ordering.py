@@ -20,6 +20,7 @@ from pyspark.sql.types import BooleanType, DateType, IntegralType, NumericType,
 from gablework.functions.missing import quoted
 
 ROWS_PER_TASK = 2_000_000
+LEAST_ROWS_PER_TASK = 10_000
 MAX_BLOCKS = 16_384
 _EXACT_DOUBLE = 2.0**53
 
@@ -29,8 +30,9 @@ def shuffle_tasks(spark: SparkSession) -> int:
 
 
 def tasks_for(spark: SparkSession, rows: int) -> int:
-    """Partitions that keep a task's share of the rows sortable in memory, if the session asks for fewer."""
-    return max(shuffle_tasks(spark), math.ceil(rows / ROWS_PER_TASK))
+    """The session's shuffle partitions, kept between sensible sizes of a task."""
+    wanted = min(shuffle_tasks(spark), math.ceil(rows / LEAST_ROWS_PER_TASK))
+    return max(1, wanted, math.ceil(rows / ROWS_PER_TASK))
 
 
 @dataclass(frozen=True)
@@ -67,7 +69,8 @@ def fit_order_blocks(df: DataFrame, order_by: Sequence[str], n_blocks: int | Non
     position = _position(df, order_by, ranges.asDict())
     null_keys = ranges["keyed"] < ranges["rows"]
     if n_blocks is None:
-        n_blocks = max(4 * shuffle_tasks(df.sparkSession), tasks_for(df.sparkSession, ranges["rows"]))
+        # Blocks are hashed to tasks; several per task even out how many each gets.
+        n_blocks = 4 * tasks_for(df.sparkSession, ranges["rows"])
     n_blocks = max(1, min(n_blocks, MAX_BLOCKS, ranges["rows"]))
     if n_blocks == 1:
         return OrderBlocks(position, (), null_keys)
