@@ -38,7 +38,8 @@ def spread_rows(
     counted = df.withColumns({"_slice": F.lit(0).cast("long"), "_copies": F.lit(1).cast("long")})
     if rows > slice_rows:
         content = F.xxhash64(*columns)
-        found = df.select(content.alias("content")).freqItems(["content"], slice_rows / rows).first()[0]
+        share = max(slice_rows / rows, SMALLEST_SHARE)
+        found = df.select(content.alias("content")).freqItems(["content"], share).first()[0]
         if found:
             counted = _sliced(df, columns, content.isin(*found), slice_rows)
     placed = counted.repartition(partitions, *columns, "_slice")
