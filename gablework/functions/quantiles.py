@@ -28,26 +28,26 @@ SKETCH_ERROR = 1e-3
 
 @dataclass
 class _Search:
-    """One wanted rank, counted among the rows strictly between ``low`` and ``high``."""
+    """One wanted rank, counted among the rows strictly between ``low`` and ``high``.
+
+    No bound is not an infinite bound: infinities may be among the values.
+    """
 
     column: str
     rank: int
     size: int
-    low: float = -math.inf
-    high: float = math.inf
-    closed_ends: bool = True
+    low: float | None = None
+    high: float | None = None
     found: float | None = None
 
     def window(self) -> tuple:
-        return (self.column, self.low, self.high, self.closed_ends)
+        return (self.column, self.low, self.high)
 
     def inside(self, value: Column) -> Column:
-        if self.closed_ends:
-            return value.isNotNull()
-        keep = F.lit(True)
-        if self.low > -math.inf:
+        keep = value.isNotNull()
+        if self.low is not None:
             keep = keep & (value > self.low)
-        if self.high < math.inf:
+        if self.high is not None:
             keep = keep & (value < self.high)
         return keep
 
@@ -66,7 +66,6 @@ class _Search:
             self.rank -= passed
             self.size -= passed
             self.low = high
-        self.closed_ends = False
 
 
 def order_statistics(
@@ -161,14 +160,16 @@ def exact_quantiles(
     ranks = {name: [r for low, high, _ in found for r in (low, high)] for name, found in spots.items() if found}
     known = order_statistics(df.select(*map(quoted, ranks)), ranks, sizes, sortable_rows) if ranks else {}
     return {
-        name: [
-            known[name][low] + (known[name][high] - known[name][low]) * weight for low, high, weight in spots[name]
-        ]
+        name: [_between(known[name][low], known[name][high], weight) for low, high, weight in spots[name]]
         or [None] * len(wanted)
         for name, wanted in probabilities.items()
     }
 
 
+def _between(low: float, high: float, weight: float) -> float:
+    return low if low == high or weight == 0 else low + (high - low) * weight
+
+
 def _spot(probability: float, n: int, interpolate: bool) -> tuple[int, int, float]:
     # Decimal reading of the probability keeps 0.15 * n from landing beside an integer.
     p = Fraction(str(probability))

@@ -51,3 +51,9 @@ def test_several_columns_at_once(spark):
     df = spark.range(1001).select(F.col("id").alias("a"), (-F.col("id")).alias("b"))
     found = exact_quantiles(df, {"a": [0.5], "b": [0.25]}, interpolate=True, sortable_rows=10)
     assert found == {"a": [500.0], "b": [-750.0]}
+
+
+def test_infinite_values_have_ranks(spark):
+    values = [float("-inf")] * 30 + [float(i) for i in range(100)] + [float("inf")] * 30
+    found = exact_quantiles(frame(spark, values), {"x": [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]}, sortable_rows=5)["x"]
+    assert found == [expected(values, p, False) for p in (0.0, 0.1, 0.25, 0.5, 0.9, 1.0)]
