@@ -243,7 +243,7 @@ ORACLES: dict[str, str] = {
     "select_features": f"""
         WITH priced AS ({_PRICED}),
              tests AS (SELECT feature, r * r / (1 - r * r) * (n - 2) AS f FROM ({_f_tests()}))
-        SELECT feature, round(f, 4) AS f_value, row_number() OVER (ORDER BY f DESC) <= 5 AS kept FROM tests""",
+        SELECT feature, round(log10(f), 8) AS log10_f, row_number() OVER (ORDER BY f DESC) <= 5 AS kept FROM tests""",
     "clean_chain": """
         WITH stacked AS (
                SELECT CASE WHEN lang = 'en' THEN 0 ELSE 1 END AS source_rank, d.doc_id, source, n_chars, quality, toxic,
