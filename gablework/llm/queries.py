@@ -5,11 +5,34 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gablework.llm import quality
+from gablework.llm import bpe, licenses, quality
 from gablework.sources.tables import table
 
 
+def word_bpe() -> str:
+    """The vocabulary file of the token queries; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
+    scanned = licenses.scan(table(spark, folder, "documents"))
+    return scanned.select(
+        "doc_id",
+        *[F.col(f"licenses.{c}") for c in ("n_words", "n_base", "first_word", "last_word")],
+        F.array_join("licenses.base_labels", ",").alias("base_labels"),
+        F.array_join("licenses.labels", ",").alias("labels"),
+        "licenses.score",
+    )
+
+
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.digest(table(spark, folder, "documents"), word_bpe())
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.assess(table(spark, folder, "documents"))
     return judged.selectExpr(
@@ -26,6 +49,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scans": op1_license_scans,
+    "op5_bpe": op5_bpe,
     "op9_quality_rules": op9_quality_rules,
 }
 
