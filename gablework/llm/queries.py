@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, licenses, quality
+from gablework.llm import bpe, html_text, licenses, quality, token_files
+from gablework.sources.scratch import fresh_path
 from gablework.sources.tables import table
 
 
@@ -33,6 +34,17 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), word_bpe())
 
 
+def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    extracted = html_text.extract(table(spark, folder, "pages"))
+    return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = fresh_path(spark, "tokens")
+    token_files.write_tokens(table(spark, folder, "documents"), path, word_bpe())
+    return token_files.checksums(token_files.read_tokens(spark, path))
+
+
 def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality.assess(table(spark, folder, "documents"))
     return judged.selectExpr(
@@ -51,6 +63,8 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op5_bpe": op5_bpe,
+    "op6_html_extraction": op6_html_extraction,
+    "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
 }
 
