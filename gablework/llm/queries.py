@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, html_text, licenses, quality, token_files
+from gablework.llm import bpe, html_text, licenses, pii, quality, token_files
 from gablework.sources.scratch import fresh_path
 from gablework.sources.tables import table
 
@@ -30,6 +30,16 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# For trials on made-up data; a real run passes a key of its own.
+TRIAL_KEY = b"trial key"
+
+
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    done = pii.pseudonymise(table(spark, folder, "documents"), TRIAL_KEY)
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.col("pii.kind"))), ",")
+    return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), kinds.alias("kinds"))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digest(table(spark, folder, "documents"), word_bpe())
 
@@ -62,6 +72,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
+    "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op6_html_extraction": op6_html_extraction,
     "op8_token_files": op8_token_files,
