@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, html_text, licenses, pii, quality, token_files
+from gablework.llm import bpe, html_text, licenses, pii, quality, token_files, toxicity
+from gablework.llm.shipping import ship
 from gablework.sources.scratch import fresh_path
 from gablework.sources.tables import table
 
@@ -30,26 +31,44 @@ def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    train = docs.select("doc_id", "text").filter(~toxicity.held_out("doc_id")).join(labels.select("doc_id", "toxic"), "doc_id")
+    model = toxicity.fit(train)
+    scored = toxicity.score_rows(docs, model, ["doc_id"])
+    return scored.select(
+        "doc_id",
+        toxicity.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 # For trials on made-up data; a real run passes a key of its own.
 TRIAL_KEY = b"trial key"
 
 
 def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
     done = pii.pseudonymise(table(spark, folder, "documents"), TRIAL_KEY)
     kinds = F.array_join(F.array_sort(F.array_distinct(F.col("pii.kind"))), ",")
     return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), kinds.alias("kinds"))
 
 
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
     return bpe.digest(table(spark, folder, "documents"), word_bpe())
 
 
 def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
     extracted = html_text.extract(table(spark, folder, "pages"))
     return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
     path = fresh_path(spark, "tokens")
     token_files.write_tokens(table(spark, folder, "documents"), path, word_bpe())
     return token_files.checksums(token_files.read_tokens(spark, path))
@@ -72,6 +91,7 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
+    "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
     "op5_bpe": op5_bpe,
     "op6_html_extraction": op6_html_extraction,
