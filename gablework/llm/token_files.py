@@ -17,6 +17,7 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gablework.llm.pretokens import Splitter, WordCache, _library, text_batches
+from gablework.llm.pretokens import Splitter, WordCache, _library, load, text_batches
 
 
 @dataclass(frozen=True)
@@ -51,14 +52,22 @@ class TokenLayout:
 @lru_cache(maxsize=2)
 def _cache(vocabulary: str) -> WordCache:
     """Ids of whole words from the tokenizers library; merges never cross words, so texts follow."""
-    tokenizer = _library(vocabulary)
+    tokenizer, tokens = _library(vocabulary), load(vocabulary)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    closing = np.zeros(max([*tokens.vocabulary.values(), *tokens.specials.values()]) + 1, bool)
+    closing[[i for t, i in tokens.vocabulary.items() if t.endswith(tokens.suffix)]] = True
+    closing[list(tokens.specials.values())] = True
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        found = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        return np.fromiter((i for x in found for i in x), np.int64, int(lengths.sum())), lengths
+        """Words set apart by blanks are encoded many at a time; the last id of each is one that closes a word."""
+        runs = [" ".join(words[i : i + 2_000]) for i in range(0, len(words), 2_000)]
+        found = [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
+        flat = np.fromiter(chain.from_iterable(found), np.int64)
+        lengths = np.diff(np.flatnonzero(closing[flat]), prepend=-1)
+        if len(lengths) != len(words):
+            raise ValueError("the vocabulary does not mark where words end")
+        return flat, lengths
 
     return WordCache(Splitter(vocabulary), encode)
 
