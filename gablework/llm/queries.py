@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, html_text, licenses, pii, quality, token_files, toxicity
+from gablework.llm import bpe, decontaminate, html_text, licenses, pii, quality, token_files, toxicity
 from gablework.llm.shipping import ship
 from gablework.sources.scratch import fresh_path
 from gablework.sources.tables import table
@@ -56,6 +56,10 @@ def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
     return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), kinds.alias("kinds"))
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     return bpe.digest(table(spark, folder, "documents"), word_bpe())
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_toxicity": op2_toxicity,
     "op3_pii": op3_pii,
+    "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
     "op6_html_extraction": op6_html_extraction,
     "op8_token_files": op8_token_files,
