@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, decontaminate, html_text, licenses, pii, quality, token_files, toxicity
+from gablework.llm import bpe, decontaminate, html_text, licenses, pii, quality, substring, token_files, toxicity
 from gablework.llm.shipping import ship
 from gablework.sources.scratch import fresh_path
 from gablework.sources.tables import table
@@ -93,6 +93,11 @@ def op9_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return substring.digest(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scans": op1_license_scans,
     "op2_toxicity": op2_toxicity,
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_html_extraction": op6_html_extraction,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
+    "op10_substring_dedup": op10_substring_dedup,
 }
 
 ORACLES: dict[str, str] = {}
