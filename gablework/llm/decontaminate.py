@@ -29,6 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gablework.llm.distinct import text_key
 from gablework.llm.native import indices, let
 from gablework.sources.scratch import materialize
 
@@ -162,12 +163,6 @@ def _set_aside(docs: DataFrame, probes: DataFrame, rules: Decontamination, text:
     return docs.join(keys, ["k1", "k2"], "left_semi")
 
 
-def text_key(text: Column) -> list[Column]:
-    """Two hashes that tell texts apart."""
-    whole = F.coalesce(text, F.lit(""))
-    return [F.xxhash64(whole).alias("k1"), F.xxhash64(F.lit("2"), whole).alias("k2")]
-
-
 def find(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -186,30 +181,31 @@ def find(
     keyed = docs.select(*text_key(whole), whole.alias("_text"))
     # Copies of one text are examined once from here on.
     suspects = _set_aside(keyed, probes, rules, F.col("_text")).dropDuplicates(["k1", "k2"])
-    suspects = suspects.select("k1", "k2", word_hashes(F.col("_text")).alias("hashes"))
-    suspects = materialize(suspects, "suspects").withColumn("bag", shingles(F.col("hashes"), size))
-    if items.count() * (rules.radius + 1) <= 200_000:  # rows of fixed size, so a bound in bytes
-        probes, small = F.broadcast(probes), True
-    else:
-        small = False
-    placed = (
-        suspects.select("k1", "k2", "hashes", "bag", F.posexplode("bag").alias("at", "hash"))
-        .join(probes, "hash")
-        .withColumn("base", F.col("at") - F.col("offset"))
+    suspects = suspects.select("k1", "k2", let(word_hashes(F.col("_text")), lambda h: shingles(h, size)).alias("bag"))
+    suspects = materialize(suspects, "suspects")
+    small = items.count() * (rules.radius + 1) <= 200_000  # rows of fixed size, so a bound in bytes
+    # Places are found without the texts' arrays, which would be copied for every word.
+    hits = (
+        suspects.select("k1", "k2", F.posexplode("bag").alias("at", "hash"))
+        .join(F.broadcast(probes) if small else probes, "hash")
+        .select("k1", "k2", "n", "missing", "probes", "rank", (F.col("at") - F.col("offset")).alias("base"))
     )
     # The same windows would come from an earlier probe that is in place.
     earlier = F.exists(
         F.slice("probes", F.lit(1), F.col("rank")),
         lambda p: (F.col("base") + p["offset"] >= 0) & (F.get("bag", F.col("base") + p["offset"]) == p["hash"]),
     )
-    starts = F.filter(
-        F.sequence(F.col("base") - F.col("missing"), F.col("base") + F.col("missing")),
-        lambda s: (s >= 0) & (s + F.col("n") <= F.size("hashes")),
+    held = F.col("n") - (size - 1)  # shingles of a window
+    low = F.greatest(F.col("base") - F.col("missing"), F.lit(0))
+    high = F.least(F.col("base") + F.col("missing"), F.size("bag") - held)
+    regions = (
+        hits.join(suspects, ["k1", "k2"])
+        .filter(~F.coalesce(earlier, F.lit(False)) & (high >= low))
+        .select("k1", "k2", "n", low.alias("low"), high.alias("high"), F.slice("bag", low + 1, high - low + held).alias("region"))
     )
     windows = (
-        placed.filter(~F.coalesce(earlier, F.lit(False)))
-        .select("k1", "k2", "n", "bag", F.explode(starts).alias("start"))
-        .select("k1", "k2", "n", "start", F.slice("bag", F.col("start") + 1, F.col("n") - (size - 1)).alias("window"))
+        regions.select("k1", "k2", "n", "low", "region", F.explode(F.sequence("low", "high")).alias("start"))
+        .select("k1", "k2", "n", "start", F.slice("region", F.col("start") - F.col("low") + 1, held).alias("window"))
         .dropDuplicates(["k1", "k2", "n", "start"])
         .withColumn("print", simhash(F.col("window")))
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, decontaminate, html_text, licenses, pii, quality, substring, token_files, toxicity
+from gablework.llm import bpe, decontaminate, html_text, licenses, near_dup, pii, quality, substring, token_files, toxicity
 from gablework.llm.shipping import ship
 from gablework.sources.scratch import fresh_path
 from gablework.sources.tables import table
@@ -71,6 +71,11 @@ def op6_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
     return extracted.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op7_near_dup(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return near_dup.assign(table(spark, folder, "documents"))
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     path = fresh_path(spark, "tokens")
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_bpe": op5_bpe,
     "op6_html_extraction": op6_html_extraction,
+    "op7_near_dup": op7_near_dup,
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,

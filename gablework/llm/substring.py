@@ -21,8 +21,6 @@ alike; keys and further columns are never looked at; an empty table gives no row
 
 from __future__ import annotations
 
-import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gablework.llm.decontaminate import text_key
+from gablework.llm.distinct import distinct_texts, text_key
 from gablework.llm.pretokens import text_batches
 from gablework.llm.words import BASE, SECOND, Words, least, split
-from gablework.sources.scratch import fresh_path, materialize
+from gablework.sources.scratch import materialize
 
 SEED = 12
 
@@ -264,29 +262,12 @@ def _repeated(rows: DataFrame, name: str) -> DataFrame:
     return hits.groupBy("k1", "k2").agg(F.collect_list("h1").alias(name), F.collect_list(mine).alias(f"{name}_owned"))
 
 
-def _distinct_texts(docs: DataFrame, text: str) -> tuple[str, str]:
-    """Distinct texts with their number of copies, written in buckets of their key: table name and path."""
-    spark = docs.sparkSession
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    keyed = docs.select(*text_key(whole), whole.alias("text"))
-    distinct = keyed.groupBy("k1", "k2").agg(F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
-    name, path = f"passages_{uuid.uuid4().hex}", fresh_path(spark, "passages")
-    buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    (
-        distinct.write.option("path", path)
-        .option("compression", "zstd")
-        .bucketBy(buckets, "k1", "k2")
-        .saveAsTable(name)
-    )
-    return name, path
-
-
 def repeated_passages(docs: DataFrame, window: int = 35, text: str = "text") -> DataFrame:
     """Per distinct text: key ``(k1, k2)``, words, removed words, the kept words joined, and removed word spans."""
     if window < SEED:
         raise ValueError(f"window: at least {SEED} words")
     spark = docs.sparkSession
-    name, _ = _distinct_texts(docs, text)
+    name = distinct_texts(docs, text)
     # Texts that occur twice are removed whole if long enough, but their passages still count for others.
     texts = spark.table(name)
     anchors = materialize(texts.select("k1", "k2", "text").mapInArrow(_anchor_rows(window), VALUE_ROWS), "anchors")
