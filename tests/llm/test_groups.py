@@ -49,8 +49,8 @@ def bag(text):
     return collections.Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def brute_classes(docs, near=lambda a, b: False):
-    """Classes by plain weighted Jaccard; pairs close to the threshold are left to ``near``."""
+def brute_classes(docs):
+    """Classes by plain weighted Jaccard of texts made to be well above or below the threshold."""
     u = Union([k for k, _ in docs])
     bags = {k: bag(t) for k, t in docs}
     seen = {}
@@ -74,18 +74,18 @@ def made_documents():
     docs, key = [], 0
     passage = [f"p{i}" for i in range(40)]
     for group in range(12):
-        base = [f"g{group}w{rng.randrange(1000)}" for _ in range(400)]
+        base = [f"g{group}w{rng.randrange(1000)}" for _ in range(1000)]
         if group % 3 == 0:
             base[100:100] = passage
         for copy in range(rng.choice([1, 2, 8])):
             words = list(base)
-            for _ in range(copy):
+            for _ in range(150 if copy == 7 else copy):
                 words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
             docs.append((key, " ".join(words)))
             key += 1
         docs.append((key, docs[-1][1]))
         key += 1
-    return [d for d in docs]
+    return docs
 
 
 def test_near_duplicates(shipped, odd):
