@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Shapes accepted after currency signs and blanks are stripped.
+# Shapes accepted once sign and currency mark are read and outer blanks are gone.
 PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 GROUPED_NUMBER = r"^[+-]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]*)?$"
 
 
+# One sign and one currency mark before the number, in either order, one mark after it.
+_AROUND = r"^\s*(?:([+-])\s*[$€£]?|[$€£]\s*([+-]?)|)\s*(.*?)\s*[$€£]?\s*$"
+
+
 def _bare_text(text: Column) -> Column:
-    return F.regexp_replace(text, r"[\s$€£]", "")
+    return F.regexp_replace(F.trim(text), _AROUND, "$1$2$3")
 
 
 def parse_number_text(text: Column, dtype: str = "double") -> Column:

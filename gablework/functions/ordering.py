@@ -15,9 +15,18 @@ from dataclasses import dataclass
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, DateType, IntegralType, NumericType, StringType, TimestampType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    IntegralType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from gablework.functions.missing import quoted
+from gablework.sources.scratch import materialize
 
 ROWS_PER_TASK = 2_000_000
 LEAST_ROWS_PER_TASK = 10_000
@@ -35,6 +44,20 @@ def tasks_for(spark: SparkSession, rows: int) -> int:
     return max(1, wanted, math.ceil(rows / ROWS_PER_TASK))
 
 
+def range_blocks(df: DataFrame, order_by: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
+    """The rows, written out with the number of the key range they fall into.
+
+    Ranges are cut over all of ``order_by`` (nulls first), so ties in a leading key, texts with a
+    long common start and composite keys are all split, and any orderable type will do. Numbers
+    ascend with the keys. Without ``partitions`` the session's shuffle partitions are
+    cut, and adaptive execution joins small neighbours. Written, because ranges are
+    sampled anew for each execution.
+    """
+    keys = [F.col(quoted(c)).asc_nulls_first() for c in order_by]
+    dealt = df.repartitionByRange(*keys) if partitions is None else df.repartitionByRange(partitions, *keys)
+    return materialize(dealt.withColumn(name, F.spark_partition_id()), "ranges")
+
+
 @dataclass(frozen=True)
 class OrderBlocks:
     position: Column
@@ -81,15 +104,15 @@ def fit_order_blocks(df: DataFrame, order_by: Sequence[str], n_blocks: int | Non
 
 
 def _is_whole(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, (IntegralType, DateType, TimestampType, BooleanType))
+    return isinstance(df.schema[name].dataType, (IntegralType, DateType, TimestampType, TimestampNTZType, BooleanType))
 
 
 def _whole(df: DataFrame, name: str) -> Column:
     column, dtype = F.col(quoted(name)), df.schema[name].dataType
     if isinstance(dtype, DateType):
         return F.unix_date(column).cast("long")
-    if isinstance(dtype, TimestampType):
-        return F.unix_micros(column)
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        return F.unix_micros(column.cast("timestamp"))
     return column.cast("long")
 
 
@@ -137,9 +160,8 @@ def _shared_bytes(low: str, high: str) -> int:
 
 def number_rows(df: DataFrame, order_by: Sequence[str], name: str, blocks: OrderBlocks | None = None) -> DataFrame:
     """1-based row number along ``order_by`` without a one-task sort of the rows."""
-    blocks = blocks or fit_order_blocks(df, order_by)
     block = name + "_block"
-    labelled = blocks.label(df, block)
+    labelled = blocks.label(df, block) if blocks else range_blocks(df, order_by, block)
     before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         labelled.groupBy(block)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,24 +16,24 @@ from gablework.functions.ordering import number_rows
 # A lookup is collected and broadcast only within both bounds: at most 8 MB of names.
 BROADCAST_ROWS = 20_000
 LONGEST_NAME = 400  # bytes
-_LOOKUP = "category string, code int"
 
 
 def encode_mapping(
     df: DataFrame,
     column: str,
-    mapping: Mapping[str, int],
+    mapping: Mapping[Any, int],
     output: str | None = None,
     on_unmapped: str | int = "null",
 ) -> DataFrame:
-    """Replace category names by the codes of a written-out mapping.
+    """Replace categories, of the column's own type, by the codes of a written-out mapping.
 
     ``on_unmapped``: ``"null"``, ``"error"``, or a default code. A missing category
     stays missing.
     """
     pairs = list(mapping.items())
-    lookup = df.sparkSession.createDataFrame(pairs, _LOOKUP)
-    small = len(pairs) <= BROADCAST_ROWS and all(len(k.encode()) <= LONGEST_NAME for k in mapping)
+    kind = StructField("category", df.schema[column].dataType)
+    lookup = df.sparkSession.createDataFrame(pairs, StructType([kind, StructField("code", IntegerType())]))
+    small = len(pairs) <= BROADCAST_ROWS and all(len(str(k).encode()) <= LONGEST_NAME for k in mapping)
     return _look_up(df, column, F.broadcast(lookup) if small else lookup, output or column, on_unmapped)
 
 
@@ -51,7 +52,7 @@ class TargetOrder:
         )
 
 
-def fit_target_order(df: DataFrame, column: str, target: str) -> TargetOrder:
+def fit_target_order(df: DataFrame, column: str, target: str, most_broadcast: int | None = None) -> TargetOrder:
     """Rank the categories of ``column`` by their mean ``target``.
 
     The means are partial aggregates. A ranking that measures small is held as a local
@@ -64,23 +65,26 @@ def fit_target_order(df: DataFrame, column: str, target: str) -> TargetOrder:
         .agg(F.avg(present(df, target)).alias("mean_target"))
     )
     spark: SparkSession = df.sparkSession
-    head = _bounded_rows(means)
+    head = _bounded_rows(means, BROADCAST_ROWS if most_broadcast is None else most_broadcast)
     if head is not None:
         head.sort(key=lambda r: (r["mean_target"] is None, r["mean_target"] or 0.0, r["category"]))
         schema = StructType([*means.schema.fields, StructField("code", IntegerType())])
         ranked = [(*row, place) for place, row in enumerate(head, start=1)]
         return TargetOrder(column, spark.createDataFrame(ranked, schema), True)
-    # A category whose target is never known sorts last, as in the small case.
-    ordered = means.withColumn("_mean", F.coalesce("mean_target", F.lit(float("inf"))))
-    return TargetOrder(column, number_rows(ordered, ["_mean", "category"], "code").drop("_mean"), False)
+    # A category whose target is never known sorts last, as in the small case, and codes are of the same type.
+    ordered = means.withColumns(
+        {"_unknown": F.col("mean_target").isNull(), "_mean": F.coalesce("mean_target", F.lit(0.0))}
+    )
+    numbered = number_rows(ordered, ["_unknown", "_mean", "category"], "code").withColumn("code", F.col("code").cast("int"))
+    return TargetOrder(column, numbered.drop("_unknown", "_mean"), False)
 
 
-def _bounded_rows(means: DataFrame) -> list | None:
+def _bounded_rows(means: DataFrame, most: int) -> list | None:
     """The rows, or None if there are too many or a name is too long to hold them."""
     size = F.octet_length(F.col("category").cast("string"))
     name = F.when(size <= LONGEST_NAME, F.col("category")).alias("category")
-    rows = means.select(name, "mean_target").limit(BROADCAST_ROWS + 1).collect()
-    if len(rows) > BROADCAST_ROWS or any(r["category"] is None for r in rows):
+    rows = means.select(name, "mean_target").limit(most + 1).collect()
+    if len(rows) > most or any(r["category"] is None for r in rows):
         return None
     return rows
 

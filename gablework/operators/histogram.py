@@ -18,9 +18,11 @@ def histogram(df: DataFrame, column: str, width: float | None = None, start: flo
 
     Without ``width`` the class count follows Sturges' rule and the edges are rounded to
     1, 2 or 5 times a power of ten. With it, classes start at ``start`` (the greatest
-    multiple of the width not above the minimum by default). Empty classes are listed.
+    multiple of the width not above the minimum by default). Empty classes are listed;
+    infinite values are left out.
     """
-    value = present(df, column).cast("double")
+    number = present(df, column).cast("double")
+    value = F.when(F.abs(number) < float("inf"), number)
     seen = df.agg(F.count(value).alias("n"), F.min(value).alias("low"), F.max(value).alias("high")).first()
     if seen["n"] == 0:
         raise ValueError(f"{column} has no values")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gablework.functions.missing import present, quoted
-from gablework.functions.ordering import OrderBlocks, fit_order_blocks
+from gablework.functions.ordering import OrderBlocks, range_blocks
 from gablework.functions.quantiles import exact_quantiles
 from gablework.operators.shape import string_columns
 
@@ -70,15 +70,16 @@ def fill_along(
     if direction not in ("forward", "backward"):
         raise ValueError(f"direction: {direction}")
     forward = direction == "forward"
-    blocks = blocks or fit_order_blocks(df, order_by)
-    labelled = blocks.label(df, "_block")
-    keys = [F.col(quoted(c)).asc_nulls_first() for c in order_by]
-    seen = (Window.unboundedPreceding, Window.currentRow) if forward else (Window.currentRow, Window.unboundedFollowing)
-    pick, nearest = (F.last, F.max_by) if forward else (F.first, F.min_by)
-    within = Window.partitionBy("_block").orderBy(*keys).rowsBetween(*seen)
+    labelled = blocks.label(df, "_block") if blocks else range_blocks(df, order_by, "_block")
+    # Backward is forward over the mirrored order: a frame that grows keeps its last value,
+    # one that shrinks would be searched anew for every row.
+    columns_by = [F.col(quoted(c)) for c in order_by]
+    keys = [c.asc_nulls_first() for c in columns_by] if forward else [c.desc_nulls_last() for c in columns_by]
+    nearest = F.max_by if forward else F.min_by
+    within = Window.partitionBy("_block").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
     # A lone key lets numeric columns aggregate by hash; a struct also orders null keys.
-    lone = len(order_by) == 1 and not blocks.null_keys
+    lone = len(order_by) == 1 and blocks is not None and not blocks.null_keys
     order = F.col(quoted(order_by[0])) if lone else F.struct(*[F.col(quoted(c)) for c in order_by])
     ends = labelled.groupBy("_block").agg(
         *[
@@ -86,13 +87,13 @@ def fill_along(
             for i, c in enumerate(columns)
         ]
     )
-    beyond = (Window.unboundedPreceding, -1) if forward else (1, Window.unboundedFollowing)
-    across = Window.orderBy("_block").rowsBetween(*beyond)  # one row per block
+    block_order = F.col("_block").asc() if forward else F.col("_block").desc()
+    across = Window.orderBy(block_order).rowsBetween(Window.unboundedPreceding, -1)  # one row per block
     carried = ends.select(
         "_block",
-        *[pick(f"_end{i}", ignorenulls=True).over(across).alias(f"_carry{i}") for i in range(len(columns))],
+        *[F.last(f"_end{i}", ignorenulls=True).over(across).alias(f"_carry{i}") for i in range(len(columns))],
     )
-    filled = labelled.withColumns({c: pick(present(df, c), ignorenulls=True).over(within) for c in columns})
+    filled = labelled.withColumns({c: F.last(present(df, c), ignorenulls=True).over(within) for c in columns})
     return (
         filled.join(carried, "_block")
         .withColumns({c: F.coalesce(F.col(quoted(c)), F.col(f"_carry{i}")) for i, c in enumerate(columns)})
