@@ -6,6 +6,8 @@ training file only (``"train"``), which keeps hold-out rows out of the fitted va
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType, _parse_datatype_string
@@ -13,8 +15,8 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from gablework.operators.combine import attach_target, stack
 from gablework.operators.encode import encode_mapping, fit_target_order
 from gablework.operators.impute import fill_along, fill_literal, fill_zero, fit_fills
-from gablework.operators.profile import require_complete
-from gablework.operators.shape import conform_schema, derive, drop_sparse, move_last, numeric_columns, total_of
+from gablework.operators.profile import require_complete, sparse_columns
+from gablework.operators.shape import conform_schema, derive, move_last, numeric_columns, total_of
 from gablework.plans.recipes import Inputs
 from gablework.sources.delimited import apply_types, infer_types, read_text
 from gablework.sources.scratch import materialize
@@ -81,9 +83,11 @@ KEY = ["source_rank", "Id"]
 
 def load_houses(spark: SparkSession, train: str, test: str, target: str) -> DataFrame:
     """Both files stacked, the test rows with the target file's prices, typed in one pass."""
-    prices = read_text(spark, target, names=["Id", "SalePrice"])
-    test_rows = attach_target(read_text(spark, test), prices, "Id")
-    text = stack({"train": read_text(spark, train), "test": test_rows})
+    files = [read_text(spark, train), read_text(spark, test), read_text(spark, target, names=["Id", "SalePrice"])]
+    # Keys meet as values, so " 2" and "02" are 2; their type is that of all three files.
+    key_type = infer_types(reduce(DataFrame.union, [f.select("Id") for f in files])).fields[0].dataType
+    train_rows, test_rows, prices = (f.withColumn("Id", F.col("Id").try_cast(key_type).cast("string")) for f in files)
+    text = stack({"train": train_rows, "test": attach_target(test_rows, prices, "Id")})
     data = text.drop("source", "source_rank")
     types = infer_types(data)
     typed = apply_types(text, StructType([*types.fields, text.schema["source"], text.schema["source_rank"]]))
@@ -91,9 +95,15 @@ def load_houses(spark: SparkSession, train: str, test: str, target: str) -> Data
     return materialize(typed, "houses")
 
 
+def observed_columns(houses: DataFrame, fit_scope: str = "all") -> DataFrame:
+    """All rows without the columns that are sparse in the rows of the scope."""
+    scope = houses if fit_scope == "all" else houses.filter(F.col("source") == "train")
+    return houses.drop(*sparse_columns(scope))
+
+
 def clean_houses(houses: DataFrame, fit_scope: str = "all") -> DataFrame:
     """Impute and derive; text columns stay, complete."""
-    kept = fill_zero(drop_sparse(houses), ZERO_MEANS_ABSENT)
+    kept = fill_zero(observed_columns(houses, fit_scope), ZERO_MEANS_ABSENT)
     scope = kept if fit_scope == "all" else kept.filter(F.col("source") == "train")
     filled = fit_fills(scope, mean=MEAN_FILLED, median=MEDIAN_FILLED).apply(kept)
     carried = fill_along(filled, CARRIED_FORWARD, KEY)

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType, _parse_datatype_string
 
@@ -27,6 +28,7 @@ READR_NA = ("", "NA")
 
 _WHOLE = r"^\s*[+-]?[0-9]+\s*$"
 _REAL = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI]nf(inity)?)\s*$"
+_JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"  # what a cast would take as part of a number
 _TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
 
 
@@ -53,27 +55,66 @@ def read_delimited(
 
     With ``schema`` the header is skipped and the schema's names are used. Without it the
     names come from the header and the types from the data. ``on_bad`` says what a value
-    outside a declared type does: ``"error"`` or ``"null"``.
+    outside a declared type, or a row of another width than the header, does: ``"error"``, or ``"null"``
+    (such a row is padded or cut). A quoted line break is such a row unless the dialect is ``multi_line``.
+    Files of a list that differ in their headers are aligned by name.
     """
     if isinstance(schema, str):
         schema = _parse_datatype_string(schema)
-    text = read_text(spark, path, schema.names if schema is not None else None, dialect)
+    text = read_text(spark, path, schema.names if schema is not None else None, dialect, on_bad)
     return apply_types(text, infer_types(text, dialect) if schema is None else schema, dialect, on_bad)
 
 
 def read_text(
-    spark: SparkSession, path: str | list[str], names: Sequence[str] | None = None, dialect: Dialect = PANDAS
+    spark: SparkSession,
+    path: str | list[str],
+    names: Sequence[str] | None = None,
+    dialect: Dialect = PANDAS,
+    on_bad: str = "error",
 ) -> DataFrame:
     """All columns as text, missing-value tokens already null.
 
     Files that belong together can be stacked as text and typed once for all of them.
     """
-    reader = spark.read.options(
+    if names is not None or isinstance(path, str):
+        return _read_alike(spark, path, names, dialect, on_bad)
+    # One scan per distinct header; reading a header reads one line.
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for one in path:
+        alike.setdefault(tuple(_reader(spark, dialect).csv(one).columns), []).append(one)
+    parts = [_read_alike(spark, paths, header, dialect, on_bad) for header, paths in alike.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _reader(spark: SparkSession, dialect: Dialect) -> DataFrameReader:
+    return spark.read.options(
         header=True, sep=dialect.sep, quote='"', escape='"', multiLine=dialect.multi_line, mode="PERMISSIVE"
     )
-    if names is not None:
-        reader = reader.schema(StructType([StructField(n, StringType()) for n in names]))
-    return blank_tokens(reader.csv(path), dialect.na_tokens)
+
+
+def _read_alike(
+    spark: SparkSession, path: str | list[str], names: Sequence[str] | None, dialect: Dialect, on_bad: str
+) -> DataFrame:
+    reader = _reader(spark, dialect)
+    names = reader.csv(path).columns if names is None else list(names)
+    fields = [StructField(n, StringType()) for n in names]
+    if on_bad == "null":
+        return blank_tokens(reader.schema(StructType(fields)).csv(path), dialect.na_tokens)
+    raw = "_unfit_row"
+    while raw in names:
+        raw = "_" + raw
+    # The parser counts a row's values only when it keeps them all.
+    reader = reader.options(columnNameOfCorruptRecord=raw, columnPruning=False)
+    rows = reader.schema(StructType([*fields, StructField(raw, StringType())])).csv(path)
+    # Spark refuses to read the unfit rows alone, so the message also names a value.
+    told = F.concat(
+        F.lit(f"not a row of {len(names)} values (a quoted line break needs multi_line=True): "),
+        F.col(quoted(raw)),
+        F.lit(f"; {names[0]}: "),
+        F.coalesce(F.col(quoted(names[0])), F.lit("")),
+    )
+    fit = F.when(F.col(quoted(raw)).isNull(), True).otherwise(F.raise_error(told).cast("boolean"))
+    return blank_tokens(rows.filter(fit).drop(raw), dialect.na_tokens)
 
 
 def apply_types(
@@ -126,6 +167,8 @@ def _typed(field: StructField, dialect: Dialect, on_bad: str) -> Column:
     body = text
     if dialect.grouped_numbers and field.dataType.typeName() in ("double", "float", "long", "integer"):
         body = F.when(text.rlike(GROUPED_NUMBER), F.regexp_replace(text, ",", "")).otherwise(text)
+    if field.dataType.typeName() in ("double", "float"):
+        body = F.when(~body.rlike(_JAVA_SUFFIX), body)
     value = body.try_cast(field.dataType)
     if on_bad == "null":
         return value

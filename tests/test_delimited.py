@@ -60,6 +60,38 @@ def test_values_outside_a_declared_type(spark, write):
     assert read_delimited(spark, path, schema="Id int, v int", on_bad="null").first()["v"] is None
 
 
+def test_java_suffixes_do_not_fit_a_declared_double(spark, write):
+    path = write("v\n12d\n12f\n1.5\nInf\n")
+    with pytest.raises(SparkRuntimeException, match="not a double: 12[df]"):
+        read_delimited(spark, path, schema="v double").collect()
+    found = [r["v"] for r in read_delimited(spark, path, schema="v double", on_bad="null").collect()]
+    assert found == [None, None, 1.5, float("inf")]
+
+
+@pytest.mark.parametrize("body", ["1,2\n2,3,99\n", "1,2\n3\n", '1,"x\ny"\n2,z\n'])
+@pytest.mark.parametrize("schema", [None, "a int, b string"])
+def test_rows_of_another_width_are_errors(spark, write, body, schema):
+    path = write("a,b\n" + body)
+    with pytest.raises(SparkRuntimeException, match="not a row of 2 values"):
+        read_delimited(spark, path, schema=schema).collect()
+    with pytest.raises(SparkRuntimeException, match="not a row of 2 values"):
+        read_delimited(spark, path, schema=schema).select("a").collect()
+    assert read_delimited(spark, path, schema="a string, b string", on_bad="null").count() >= 2
+
+
+def test_quoted_line_breaks_are_one_value(spark, write):
+    path = write('a,b\n1,"x\ny"\n2,z\n')
+    rows = read_delimited(spark, path, dialect=Dialect(multi_line=True)).collect()
+    assert sorted(tuple(r) for r in rows) == [(1, "x\ny"), (2, "z")]
+
+
+def test_files_of_a_list_meet_by_name(spark, write):
+    paths = [write("x,y\n1,2\n"), write("y,x\n20,10\n", "b.csv"), write("x,y\n3,4\n", "c.csv")]
+    df = read_delimited(spark, paths)
+    assert df.columns == ["x", "y"]
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 2), (3, 4), (10, 20)]
+
+
 def test_quotes_and_separators(spark, write):
     path = write('a;b\n"x; ""y""";1\nz;2\n')
     rows = read_delimited(spark, path, dialect=Dialect(sep=";")).orderBy("b").collect()
@@ -89,6 +121,13 @@ def test_number_text(spark):
     assert [r["plus"] for r in found] == [False] * 2 + [True] + [False] * 9 + [None]
 
 
+def test_separate_numbers_are_no_number(spark):
+    texts = ["12 34", "$1 $2", "1-2", " $ -5 ", "-$5", "5 €", "+ 5", "$$5", "--5", "5\n6"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r["v"] for r in df.select(parse_number_text(F.col("t")).alias("v")).collect()]
+    assert found == [None, None, None, -5.0, -5.0, 5.0, 5.0, None, None, None]
+
+
 def test_written_frames_are_read_back(spark, write):
     df = spark.createDataFrame([(1, 'say "hi", twice'), (2, None)], "id int, v string")
     path = write_delimited(df, fresh_path(spark, "test"))

@@ -148,3 +148,17 @@ def test_prepared_table_trains_every_recipe_input(spark, files):
         model = rc.fit_recipe(rc.RECIPES[name](inputs), train)
         assert model.transform(test).agg(rmse(hp.LABEL)).first()[0] < spread
     train.unpersist()
+
+
+def test_padded_keys_meet_and_sparse_columns_are_learned_on_the_scope(spark, tmp_path):
+    def put(name, text):
+        (tmp_path / name).write_text(text)
+        return str(tmp_path / name)
+
+    train = put("train.csv", "Id,v,SalePrice\n3,1,30\n4,2,40\n")
+    test = put("test.csv", "Id,v\n01,NA\n 2,NA\n")
+    target = put("target.csv", "Id,SalePrice\n1,10\n2,20\n")
+    rows = hp.load_houses(spark, train, test, target).orderBy("Id").collect()
+    assert [(r["Id"], r["SalePrice"]) for r in rows] == [(1, 10), (2, 20), (3, 30), (4, 40)]
+    seen = hp.load_houses(spark, train, test, target)
+    assert "v" in hp.observed_columns(seen, "train").columns and "v" not in hp.observed_columns(seen, "all").columns

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gablework.functions.ordering import fit_order_blocks, number_rows
+from gablework.functions.ordering import fit_order_blocks, number_rows, range_blocks
 from gablework.operators.impute import StatisticFills, fill_along, fill_literal, fill_zero, fit_fills
 
 
@@ -101,6 +101,29 @@ def test_fill_is_planned_with_one_shuffle_of_the_rows(spark, tables):
     assert plan.count("Exchange SinglePartition") == 1
 
 
+def test_ranges_cut_ties_long_prefixes_and_null_keys(spark):
+    rows = spark.range(4000).select(
+        F.when(F.col("id") % 4 > 0, (F.col("id") % 2).cast("double")).alias("tied"),
+        F.concat(F.lit("https://a-long-common-start.example/"), F.format_string("%06d", "id")).alias("url"),
+        F.timestamp_seconds("id").cast("timestamp_ntz").alias("at"),
+        "id",
+    )
+    for keys in (["tied", "url"], ["url"], ["at"]):
+        ranges = range_blocks(rows, keys, "r", 8)
+        sizes = [r["count"] for r in ranges.groupBy("r").count().collect()]
+        assert sum(sizes) == 4000 and max(sizes) <= 2 * 4000 / 8
+    numbered = number_rows(rows, ["tied", "url"], "n").toPandas()
+    expected = numbered.sort_values(["tied", "url"], na_position="first")
+    assert expected["n"].tolist() == list(range(1, 4001))
+
+
+def test_long_ranges_fill_backward_in_linear_time(spark):
+    rows = spark.range(400_000).select("id", F.when(F.col("id") % 100_000 == 99_999, F.col("id")).alias("v"))
+    found = fill_along(rows.coalesce(1), ["v"], ["id"], direction="backward")
+    # Quadratic work would take hours.
+    assert found.filter(F.col("v") != (F.floor(F.col("id") / 100_000) + 1) * 100_000 - 1).count() == 0
+
+
 def test_fill_zero_and_literal_cover_their_types_only(spark):
     df = spark.createDataFrame([(None, None, float("nan")), (1, "a", 2.0)], "i int, s string, d double")
     zeroed = fill_zero(df, ["i", "d"])

@@ -137,6 +137,26 @@ def test_target_order_breaks_ties_by_name(priced, monkeypatch, small):
     assert coded == {"a": 2, "b": 3, "c": 1, "d": 4, None: None}
 
 
+def test_both_lookup_paths_give_equal_codes(spark):
+    rows = [("zz", float("inf")), ("aa", None), ("bb", 1.0), ("cc", 1.0), ("dd", float("-inf")), ("ee", -2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    small, large = fit_target_order(df, "k", "v"), fit_target_order(df, "k", "v", most_broadcast=2)
+    assert (small.small, large.small) == (True, False)
+    assert dict(small.table.dtypes)["code"] == dict(large.table.dtypes)["code"] == "int"
+    codes = [{r["category"]: r["code"] for r in o.table.collect()} for o in (small, large)]
+    assert codes[0] == codes[1] == {"dd": 1, "ee": 2, "bb": 3, "cc": 4, "zz": 5, "aa": 6}
+
+
+def test_mapping_keys_of_other_types(spark):
+    df = spark.createDataFrame([(1,), (2,), (None,)], "k bigint")
+    assert [r["k"] for r in encode_mapping(df, "k", {1: 10, 2: 20}).collect()] == [10, 20, None]
+
+
+def test_histogram_leaves_infinite_values_out(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("inf"),), (float("-inf"),)], "v double")
+    assert sum(r["n"] if "n" in r else r["count"] for r in (x.asDict() for x in histogram(df, "v", width=1.0).collect())) == 2
+
+
 def test_broadcast_only_for_measured_small_lookups(priced, monkeypatch):
     def plan():
         frame = fit_target_order(priced, "k", "v").apply(priced)
