@@ -87,6 +87,8 @@ ORACLES: dict[str, str] = {
                round(p_retailprice * 100, 2) AS price
         FROM part""",
     "csv_scan_semicolon": "SELECT s_suppkey, s_name, s_nationkey::BIGINT AS s_nationkey, s_acctbal FROM supplier",
+    "csv_scan_quoted": "SELECT doc_id, text FROM documents",
+    "csv_scan_many": "SELECT c_custkey, c_nationkey::BIGINT AS c_nationkey FROM customer",
     "parse_number_text": """
         SELECT c_custkey, CASE WHEN c_mktsegment <> 'HOUSEHOLD' THEN c_acctbal END AS balance,
                c_mktsegment = 'MACHINERY' AS plus
@@ -194,6 +196,13 @@ ORACLES: dict[str, str] = {
                CASE o_orderpriority WHEN '1-URGENT' THEN 1 WHEN '2-HIGH' THEN 2 WHEN '3-MEDIUM' THEN 3
                                     WHEN '4-NOT SPECIFIED' THEN 4 END::INTEGER AS priority_code
         FROM orders""",
+    "encode_mapping_int": """
+        SELECT p_partkey, p_size, CASE WHEN p_size BETWEEN 1 AND 25 THEN 2 * p_size END::INTEGER AS size_code FROM part""",
+    "encode_target_order_large": """
+        WITH ranked AS (
+          SELECT o_custkey, row_number() OVER (ORDER BY avg(o_orderkey), o_custkey)::INTEGER AS customer_code
+          FROM orders GROUP BY o_custkey)
+        SELECT o_orderkey, o_custkey, customer_code FROM orders JOIN ranked USING (o_custkey)""",
     "encode_target_order": """
         WITH ranked AS (
           SELECT p_brand, row_number() OVER (ORDER BY avg(p_retailprice), p_brand)::INTEGER AS brand_code

@@ -98,6 +98,23 @@ def csv_scan_semicolon(spark: SparkSession, folder: str) -> DataFrame:
     return read_delimited(spark, path, dialect=Dialect(sep=";"))
 
 
+@query
+def csv_scan_quoted(spark: SparkSession, folder: str) -> DataFrame:
+    """Document texts, with their line breaks and quotes, written and read back."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    path = write_delimited(documents, fresh_path(spark, "csv_scan_quoted"))
+    return read_delimited(spark, path, schema="doc_id bigint, text string", dialect=Dialect(multi_line=True))
+
+
+@query
+def csv_scan_many(spark: SparkSession, folder: str) -> DataFrame:
+    """Two lots of files whose headers differ in order, as one table."""
+    customers = table(spark, folder, "customer")
+    one = customers.filter(F.col("c_acctbal") >= 0).select("c_custkey", "c_nationkey")
+    two = customers.filter(F.col("c_acctbal") < 0).select("c_nationkey", "c_custkey")
+    return read_delimited(spark, [write_delimited(df, fresh_path(spark, "csv_scan_many")) for df in (one, two)])
+
+
 @partial(query, name="parse_number_text")
 def parse_balances(spark: SparkSession, folder: str) -> DataFrame:
     """Formatted account balances back to numbers; a few forms are no number at all."""
@@ -307,12 +324,26 @@ def encode_mapping(spark: SparkSession, folder: str) -> DataFrame:
     return encode.encode_mapping(orders, "o_orderpriority", PRIORITY_CODES, "priority_code")
 
 
+@query
+def encode_mapping_int(spark: SparkSession, folder: str) -> DataFrame:
+    parts = table(spark, folder, "part").select("p_partkey", "p_size")
+    return encode.encode_mapping(parts, "p_size", {size: 2 * size for size in range(1, 26)}, "size_code")
+
+
 @query
 def encode_target_order(spark: SparkSession, folder: str) -> DataFrame:
     parts = table(spark, folder, "part").select("p_partkey", "p_brand", "p_retailprice")
     return encode.fit_target_order(parts, "p_brand", "p_retailprice").apply(parts, "brand_code")
 
 
+@query
+def encode_target_order_large(spark: SparkSession, folder: str) -> DataFrame:
+    """The ranking that stays distributed, whatever the number of customers."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
+    ranking = encode.fit_target_order(orders, "o_custkey", "o_orderkey", most_broadcast=0)
+    return ranking.apply(orders, "customer_code")
+
+
 # ---- splits --------------------------------------------------------------------------
 
 
