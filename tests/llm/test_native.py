@@ -43,8 +43,10 @@ def test_quality_counts(odd, shipped, tables):
 
 def test_quality_verdicts(shipped, odd, empty):
     prose = "Here is a sentence with quite ordinary words in it, and one more of them."
+    # Words of its own: a second copy of the first line would fail the base rule on repeated windows.
+    second = "Nothing said above comes back below, since repeated windows alone would reject this text."
     rows = [
-        (1, f"{prose}\nRead more\n{prose.replace('ordinary', 'plain')}", ""),
+        (1, f"{prose}\nRead more\n{second}", ""),
         (2, "\n".join(" | ".join(f"c{i}{k}" for i in range(6)) for k in range(5)), ""),
         (3, " ".join(f"w{i}***" for i in range(30)), ""),
         (4, " ".join(f"WORD{i}!!" for i in range(30)), ""),
