@@ -7,10 +7,13 @@ rather than shingle frequencies keep a passage's weight the same however many ne
 
 Consistent weighted sampling (Ioffe 2010) draws samples that agree with chance equal to the
 weighted Jaccard similarity. Samples are banded; texts that agree in a band, or in two adjacent
-bands, are candidates. No group is expanded into pairs: its members are compared with two representatives, the member
-that meets most others in all bands (the middle of a cluster of near copies) and one chosen by hash,
-different from band to band. Pairs whose samples rule out the threshold are left out, the others verified by the
-exact weighted Jaccard similarity of the whole texts. Classes are the connected components of verified links.
+bands, are candidates. Small groups are compared in full. In a large one each member is first compared with two
+representatives, the member that meets most others in all bands (the middle of a cluster of near copies) and one
+chosen by hash, different from band to band. What that leaves apart is settled exactly, by a prefix-filter join over
+the members of large groups: shingles in one order for all texts, rare ones first, and the least of them that any
+partner at the threshold must share. Only pairs that no links connect so far are made there. Pairs whose samples rule
+out the threshold are left out, the others verified by the exact weighted Jaccard similarity of the whole texts.
+Classes are the connected components of verified links.
 
 Defined cases: exact copies are one text from the start; null text counts as empty; texts under five words
 have no shingle and are near-duplicates of their exact copies alone; of rows with equal key and text one stays;
@@ -24,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gablework.llm.components import components
@@ -41,6 +44,8 @@ class NearDup:
     bands: int = 14
     rows: int = 4
     slots: int = 1 << 16  # document frequencies
+    full: int = 8  # members of a group up to which all its pairs are compared
+    shingle_slots: int = 1 << 20  # how common shingles are; sets only the order in which they are joined
     # Samples must agree at least this much to be verified: over five standard deviations below the threshold.
     least_agreement: float = 0.5
 
@@ -178,20 +183,111 @@ def _signatures(texts: DataFrame, sampler: Sampler) -> DataFrame:
     return texts.select("k1", "k2", "text").mapInArrow(run, "k1 bigint, k2 bigint, keys array<bigint>, samples array<int>")
 
 
-def _candidates(signatures: DataFrame) -> DataFrame:
-    """Pairs ``(a, b)`` of text keys, a member of a group and a representative of it."""
+def _ordered(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+
+
+def _candidates(signatures: DataFrame, rules: NearDup) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(a, b)`` of text keys, and the keys of all members of large groups.
+
+    Pairs are all of a small group, and a member and a representative of a large one.
+    """
     me = F.struct("k1", "k2")
     rows = signatures.select("k1", "k2", F.explode("keys").alias("key"))
     groups = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     shared = materialize(rows.join(groups, "key"), "groups")
+    small = shared.filter(F.col("n") <= rules.full).groupBy("key").agg(F.collect_list(me).alias("all"))
+    whole = small.select("all", F.explode("all").alias("a")).select("a", F.explode("all").alias("b")).filter("a < b")
+    large = shared.filter(F.col("n") > rules.full)
     central = shared.groupBy("k1", "k2").agg(F.sum("n").alias("c"))
-    ranked = shared.join(central, ["k1", "k2"]).select("key", "c", me.alias("a"))
+    ranked = large.join(central, ["k1", "k2"]).select("key", "c", me.alias("a"))
     speakers = ranked.groupBy("key").agg(
         F.max(F.struct("c", "a")).alias("middle"), F.min(F.struct(F.xxhash64("key", "a"), "a")).alias("other")
     )
     spread = ranked.join(speakers.select("key", F.array("middle.a", "other.a").alias("speakers")), "key")
     pairs = spread.select("a", F.explode("speakers").alias("b")).filter("a <> b")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = whole.union(pairs.select(*_ordered(F.col("a"), F.col("b")))).distinct()
+    return pairs, large.select("k1", "k2").distinct()
+
+
+def _shingle_counts(texts: DataFrame, sampler: Sampler) -> np.ndarray:
+    """In how many texts the shingles of each slot occur; ``shingle_slots`` numbers reach the driver."""
+    slots = sampler.rules.shingle_slots
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(slots, np.int64)
+        for batch in batches:
+            for _, found in text_batches(batch):
+                _, hashes, _ = sampler.weigh([t.encode() for t in found])
+                counts += np.bincount((hashes % np.uint64(slots)).astype(np.int64), minlength=slots)
+        used = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], ["slot", "n"])
+
+    found = texts.select("text").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(slots, np.float32)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return counts
+
+
+def _prefixes(texts: DataFrame, sampler: Sampler, counts: np.ndarray) -> DataFrame:
+    """The rarest shingles of each text, as many as hold more than what a partner may miss.
+
+    ``rest`` is the weight of a shingle and all after it. The first shingle two texts share bounds what they share to
+    the lesser rest; texts of weights v and w at similarity t share at least t (v + w) / (1 + t). So the rest is at least
+    t times the own weight, and in the lighter text (``lead``) 2 t / (1 + t) times.
+    """
+    t = sampler.rules.similarity - 1e-4  # sums are rounded
+    slots = np.uint64(sampler.rules.shingle_slots)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first, found in text_batches(batch):
+                text, hashes, weight = sampler.weigh([x.encode() for x in found])
+                order = np.lexsort((hashes, counts[(hashes % slots).astype(np.int64)], text))
+                text, hashes, weight = text[order], hashes[order], weight[order].astype(np.float64)
+                total = np.bincount(text, weights=weight, minlength=len(found))
+                before = np.concatenate([[0.0], np.cumsum(weight)])[:-1]
+                start = np.concatenate([[0.0], np.cumsum(total)])[:-1]
+                rest = total[text] - (before - start[text])
+                kept = np.flatnonzero(rest >= t * total[text])
+                take = pa.array(text[kept] + first)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("k1").take(take),
+                        batch.column("k2").take(take),
+                        batch.column("root").take(take),
+                        pa.array(hashes[kept].view(np.int64)),
+                        pa.array(rest[kept]),
+                        pa.array(total[text[kept]]),
+                        pa.array(rest[kept] >= 2 * t / (1 + t) * total[text[kept]]),
+                    ],
+                    ["k1", "k2", "root", "hash", "rest", "weight", "lead"],
+                )
+
+    fields = "k1 bigint, k2 bigint, root struct<k1:bigint,k2:bigint>, hash bigint, rest double, weight double, lead boolean"
+    return texts.select("k1", "k2", "text", "root").mapInArrow(run, fields)
+
+
+def _apart(members: DataFrame, texts: DataFrame, links: DataFrame, sampler: Sampler) -> DataFrame:
+    """All pairs ``(a, b)`` of members that may reach the threshold and that no links connect.
+
+    Shingles whose texts are all connected go first. Of the others, only components are paired, then their
+    members, so the rows made are the pairs that are asked for.
+    """
+    roots = components(links).select(F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "root")
+    known = members.join(roots, ["k1", "k2"], "left").withColumn("root", F.coalesce("root", F.struct("k1", "k2")))
+    chosen = materialize(texts.select("k1", "k2", "text").join(known, ["k1", "k2"]), "members")
+    prefixes = materialize(_prefixes(chosen, sampler, _shingle_counts(chosen, sampler)), "prefixes")
+    split_ = prefixes.groupBy("hash").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("lead").alias("lead"))
+    rows = materialize(prefixes.join(split_.filter("lead and low <> high").select("hash"), "hash"), "open")
+    leads = rows.filter("lead").select("hash", F.col("root").alias("ra"), F.struct("k1", "k2").alias("a"), F.col("rest").alias("xa"), F.col("weight").alias("wa"))
+    others = rows.select("hash", F.col("root").alias("rb"), F.struct("k1", "k2").alias("b"), F.col("rest").alias("xb"), F.col("weight").alias("wb"))
+    meeting = leads.select("hash", "ra").distinct().join(others.select("hash", "rb").distinct(), "hash").filter("ra <> rb")
+    t = sampler.rules.similarity - 1e-4
+    pairs = meeting.join(leads, ["hash", "ra"]).join(others, ["hash", "rb"]).filter(
+        F.least("xa", "xb") >= F.lit(t / (1 + t)) * (F.col("wa") + F.col("wb"))
+    )
+    return pairs.select(*_ordered(F.col("a"), F.col("b"))).distinct()
 
 
 def _agreeing(pairs: DataFrame, signatures: DataFrame, rules: NearDup) -> DataFrame:
@@ -237,8 +333,13 @@ def classes(docs: DataFrame, rules: NearDup = NearDup(), key: str = "doc_id", te
     texts = spark.table(distinct_texts(docs, text, key))
     sampler = Sampler(rules, document_frequencies(texts, rules))
     signatures = materialize(_signatures(texts, sampler), "signatures")
-    pairs = materialize(_agreeing(_candidates(signatures), signatures, rules), "pairs")
+    candidates, members = _candidates(signatures, rules)
+    pairs = materialize(_agreeing(candidates, signatures, rules), "pairs")
     links = materialize(_verified(pairs, texts, sampler), "links")
+    members = materialize(members, "large_groups")
+    if not members.isEmpty():
+        rest = materialize(_agreeing(_apart(members, texts, links, sampler), signatures, rules), "pairs")
+        links = links.union(materialize(_verified(rest, texts, sampler), "links"))
     roots = components(links).select(F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "root")
     ends = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("links"))
     degree = ends.select(F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "links")

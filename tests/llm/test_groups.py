@@ -100,6 +100,18 @@ def test_near_duplicates(shipped, odd):
     assert {r.doc_id for r in near_dup.keep_one(frame).collect()} == set(expected.values())
 
 
+def test_pairs_inside_a_large_boilerplate_group(shipped, odd):
+    rng = random.Random(5)
+    voc = [f"w{i}" for i in range(30)]  # all equally common, so that weights are counts
+    shared = [rng.choice(voc) for _ in range(425)]
+    docs = []
+    for pair in range(200):
+        one = [rng.choice(voc) for _ in range(75)]
+        docs += [(2 * pair, " ".join(shared + one)), (2 * pair + 1, " ".join(shared + one[:34] + [rng.choice(voc) for _ in range(41)]))]
+    frame = shipped.createDataFrame([(*d, "") for d in docs], odd.schema).repartition(5)
+    assert {r.doc_id: r.class_id for r in near_dup.assign(frame).collect()} == {k: k - k % 2 for k, _ in docs}
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     got = near_dup.assign(odd)
     assert got.count() == odd.count()
