@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, decontaminate, html_text, licenses, multiset_hash, near_dup, pii, quality, substring, token_files, toxicity
+from gablework.llm import bpe, decontaminate, html_text, licenses, multiset_hash, near_dup, pii, quality, spelling, substring, token_files, toxicity
+from gablework.llm.oracles import ORACLES as ORACLES
 from gablework.llm.shipping import ship
 from gablework.sources.scratch import fresh_path
 from gablework.sources.tables import table
@@ -103,6 +104,11 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.digest(table(spark, folder, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    return spelling.variants(spelling.count_words(table(spark, folder, "documents")))
+
+
 def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     return multiset_hash.edits(table(spark, folder, "documents"))
@@ -119,7 +125,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_fingerprints": op13_fingerprints,
 }
-
-ORACLES: dict[str, str] = {}
