@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, decontaminate, html_text, licenses, multiset_hash, near_dup, pii, quality, spelling, substring, token_files, toxicity
+from gablework.llm import alignment, bpe, decontaminate, html_text, licenses, multiset_hash, near_dup, pii, quality, spelling, substring, token_files, toxicity
 from gablework.llm.oracles import ORACLES as ORACLES
 from gablework.llm.shipping import ship
 from gablework.sources.scratch import fresh_path
@@ -21,6 +21,18 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def byte_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def piece_bpe() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_license_scans(spark: SparkSession, folder: str) -> DataFrame:
     scanned = licenses.scan(table(spark, folder, "documents"))
     return scanned.select(
@@ -109,6 +121,13 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.count_words(table(spark, folder, "documents")))
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    aligned = alignment.align(table(spark, folder, "documents"), byte_bpe(), piece_bpe())
+    scored = alignment.corpus_scores(alignment.link_rows(aligned))
+    return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
     return multiset_hash.edits(table(spark, folder, "documents"))
@@ -126,5 +145,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_substring_dedup": op10_substring_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_alignment": op12_token_alignment,
     "op13_fingerprints": op13_fingerprints,
 }
