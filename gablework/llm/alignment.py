@@ -44,7 +44,7 @@ SECOND_IDS = 1 << 20
 # From one of these characters after one that is no white space, a piece begins.
 _PIECE = re.compile(r"[ \t\n]\s*\S*(?:[^\S \t\n]\s*\S*)*")
 _CROSSING = re.compile(r"[^\s▁][▁ \t\n]")
-_MOST_PIECES, _MOST_IDS = 200_000, 4_000_000
+_MOST_PIECES, _MOST_IDS, _AT_ONCE = 400_000, 8_000_000, 2_000
 # Links expanded at once; groups with more pairs than the second are counted by their distinct ids first.
 _LINKS, _LARGE_GROUP = 2_000_000, 4_096
 
@@ -64,11 +64,17 @@ class _Side:
 
     def clear(self) -> None:
         self.flat, self.starts = np.empty(0, np.int32), np.zeros(1, np.int64)
+        self.new: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def append(self, ids: list[list[int]]) -> None:
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), np.int32, int(lengths.sum()))])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+    def append(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        self.new.append((ids, lengths))
+
+    def close(self) -> None:
+        """Take in what was appended."""
+        flats, lengths = zip(*self.new)
+        self.flat = np.concatenate([self.flat, *flats])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lengths))])
+        self.new = []
 
     def of(self, pieces: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of documents that are ``counts`` pieces each, and how many ids each has."""
@@ -104,7 +110,7 @@ class Encoders(dict):
         self.lead = self.second.piece_to_id("▁a")
         self.a = _Side(np.array(list(map(len, self.first_bytes))))
         self.b = _Side(np.array(list(map(len, self.second_bytes))))
-        self.sound = np.empty(0, bool)
+        self.sound = [np.empty(0, bool)]
         self.pending: list[str] = []
 
     def __missing__(self, piece: str) -> int:
@@ -113,20 +119,45 @@ class Encoders(dict):
         return number
 
     def _learn(self) -> None:
+        """Ids of the new pieces. Pieces end to end are encoded as each alone, since merges cross no border."""
         new, self.pending = self.pending, []
-        first = [e.ids for e in self.first.encode_batch_fast(new, add_special_tokens=False)]
+        for k in range(0, len(new), _AT_ONCE):
+            some = new[k : k + _AT_ONCE]
+            # Only the last piece of a text ends in white space; such a piece would join the next.
+            if any(p[-1].isspace() for p in some) or not self._learn_joined(some):
+                for piece in some:
+                    self._learn_one(piece)
+
+    def _encode(self, pieces: str) -> tuple[list[int], list[int]]:
         # After a letter, whose own token is then the first, a piece is encoded as inside a text.
-        led = self.second.encode(["a" + p for p in new], num_threads=1)
-        if any(ids[0] != self.lead for ids in led):
+        led = self.second.encode("a" + pieces, num_threads=1)
+        if led[0] != self.lead:
             raise ValueError("a piece joined the letter before it")
-        second = [ids[1:] for ids in led]
-        self.a.append(first)
-        self.b.append(second)
-        sound = [
-            b"".join(map(self.first_bytes.__getitem__, x)) == raw == b"".join(map(self.second_bytes.__getitem__, y))
-            for raw, x, y in zip((p.encode() for p in new), first, second)
-        ]
-        self.sound = np.concatenate([self.sound, np.array(sound, bool)])
+        return self.first.encode_batch_fast([pieces], add_special_tokens=False)[0].ids, led[1:]
+
+    def _learn_joined(self, pieces: list[str]) -> bool:
+        raws = [p.encode() for p in pieces]
+        whole = b"".join(raws)
+        borders = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)))
+        cut = []
+        for side, ids, known in zip((self.a, self.b), self._encode("".join(pieces)), (self.first_bytes, self.second_bytes)):
+            if b"".join(map(known.__getitem__, ids)) != whole:
+                return False
+            flat = np.array(ids, np.int32)
+            ends = np.searchsorted(np.cumsum(side.sizes[flat]), borders, "right")
+            cut.append((flat, np.diff(ends, prepend=0)))
+        for side, (flat, lengths) in zip((self.a, self.b), cut):
+            side.append(flat, lengths)
+        self.sound.append(np.ones(len(pieces), bool))
+        return True
+
+    def _learn_one(self, piece: str) -> None:
+        first, second = self._encode(piece)
+        raw = piece.encode()
+        same = b"".join(map(self.first_bytes.__getitem__, first)) == raw == b"".join(map(self.second_bytes.__getitem__, second))
+        for side, ids in zip((self.a, self.b), (first, second)):
+            side.append(np.array(ids, np.int32), np.array([len(ids)]))
+        self.sound.append(np.array([same]))
 
     def ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Flat ids and their number per text for both sides; none for texts that are not given back."""
@@ -134,11 +165,16 @@ class Encoders(dict):
             self.clear()
             self.a.clear()
             self.b.clear()
-            self.sound = self.sound[:0]
+            self.sound = [np.empty(0, bool)]
         lists = [list(map(self.__getitem__, _PIECE.findall(" " + t))) if t else [] for t in texts]
         if self.pending:
             self._learn()
-        lists = [x if self.sound[x].all() else [] for x in lists]
+            self.a.close()
+            self.b.close()
+            self.sound = [np.concatenate(self.sound)]
+        sound = self.sound[0]
+        if not sound.all():
+            lists = [x if sound[x].all() else [] for x in lists]
         counts = np.fromiter(map(len, lists), np.int64, len(lists))
         pieces = np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum()))
         return *self.a.of(pieces, counts), *self.b.of(pieces, counts)
