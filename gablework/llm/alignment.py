@@ -44,9 +44,11 @@ SECOND_IDS = 1 << 20
 # From one of these characters after one that is no white space, a piece begins.
 _PIECE = re.compile(r"[ \t\n]\s*\S*(?:[^\S \t\n]\s*\S*)*")
 _CROSSING = re.compile(r"[^\s▁][▁ \t\n]")
-_MOST_PIECES, _MOST_IDS, _AT_ONCE = 400_000, 8_000_000, 2_000
-# Links expanded at once; groups with more pairs than the second are counted by their distinct ids first.
-_LINKS, _LARGE_GROUP = 2_000_000, 4_096
+_MOST_PIECES, _MOST_IDS, _AT_ONCE = 150_000, 2_000_000, 1_000
+# Characters aligned and tokens linked at once, beyond one text of any length.
+_MOST_TEXT, _MOST_TOKENS = 1 << 18, 1 << 18
+# Groups with more pairs than this are counted by their distinct ids first.
+_LARGE_GROUP = 4_096
 
 
 def _spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -229,32 +231,38 @@ def _list(values: np.ndarray, lengths: np.ndarray, kind=None) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32) if kind is None else values, kind or pa.int32()))
 
 
-def align(docs: DataFrame, byte_bpe: str, piece_bpe: str, key: str = "doc_id", text: str = "text", with_overlaps: bool = False) -> DataFrame:
-    """Key, ``a_ids, b_ids`` and for each group how many of them it has, ``a_sizes, b_sizes``.
+def _texts(docs: DataFrame, key: str, text: str) -> DataFrame:
+    return docs.select(F.col(f"`{key}`").alias(key), F.coalesce(f"`{text}`", F.lit("")).alias("_text"))
 
-    ``with_overlaps`` adds ``over_a, over_b``, places of overlapping tokens in the document's ids.
-    """
-    names = ["a_ids", "b_ids", "a_sizes", "b_sizes", *(["over_a", "over_b"] if with_overlaps else [])]
 
+def _aligner(byte_bpe: str, piece_bpe: str, key: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoders(byte_bpe, piece_bpe)
         for batch in batches:
-            for first, texts in text_batches(batch, "_text"):
+            for first, texts in text_batches(batch, "_text", _MOST_TEXT):
                 found = align_texts(encode, texts)
                 columns = [
-                    batch.column("_key").slice(first, len(texts)),
+                    batch.column(key).slice(first, len(texts)),
                     _list(found.a_ids, found.n_a),
                     _list(found.b_ids, found.n_b),
                     _list(found.a_sizes, found.n_groups),
                     _list(found.b_sizes, found.n_groups),
                 ]
-                if with_overlaps:
+                if "over_a" in names:
                     columns += _overlap_lists(found)
                 yield pa.RecordBatch.from_arrays(columns, [key, *names])
 
-    plain = docs.select(F.col(f"`{key}`").alias("_key"), F.coalesce(f"`{text}`", F.lit("")).alias("_text"))
+    return run
+
+
+def align(docs: DataFrame, byte_bpe: str, piece_bpe: str, key: str = "doc_id", text: str = "text", with_overlaps: bool = False) -> DataFrame:
+    """Key, ``a_ids, b_ids`` and for each group how many of them it has, ``a_sizes, b_sizes``.
+
+    ``with_overlaps`` adds ``over_a, over_b``, places of overlapping tokens in the document's ids.
+    """
+    names = ["a_ids", "b_ids", "a_sizes", "b_sizes", *(["over_a", "over_b"] if with_overlaps else [])]
     fields = [StructField(key, docs.schema[key].dataType), *[StructField(n, ArrayType(IntegerType())) for n in names]]
-    return plain.mapInArrow(run, StructType(fields))
+    return _texts(docs, key, text).mapInArrow(_aligner(byte_bpe, piece_bpe, key, names), StructType(fields))
 
 
 def _overlap_lists(found: Alignment) -> list[pa.ListArray]:
@@ -309,17 +317,13 @@ def _written(a_ids, b_ids, a_sizes, b_sizes, first_ids: int, second_ids: int) ->
     return list(map(_spelled(first_ids, second_ids).__getitem__, codes.tolist()))
 
 
-def link_rows(aligned: DataFrame, key: str = "doc_id") -> DataFrame:
-    """Key, ``n_a, n_b, n_groups, n_links, groups_sha256``, distinct ``pairs`` and how many ``times`` each is linked."""
-    schema = StructType(
-        [
-            StructField(key, aligned.schema[key].dataType),
-            *[StructField(n, LongType()) for n in ("n_a", "n_b", "n_groups", "n_links")],
-            StructField("groups_sha256", StringType()),
-            *[StructField(n, ArrayType(LongType())) for n in ("pairs", "times")],
-        ]
-    )
+def _link_schema(docs: DataFrame, key: str) -> StructType:
+    numbers = [StructField(n, LongType()) for n in ("n_a", "n_b", "n_groups", "n_links")]
+    lists = [StructField(n, ArrayType(LongType())) for n in ("pairs", "times")]
+    return StructType([StructField(key, docs.schema[key].dataType), *numbers, StructField("groups_sha256", StringType()), *lists])
+
 
+def _linker(key: str, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [batch.column(n) for n in ("a_ids", "b_ids", "a_sizes", "b_sizes")]
@@ -328,13 +332,26 @@ def link_rows(aligned: DataFrame, key: str = "doc_id") -> DataFrame:
             first = 0
             while first < batch.num_rows:  # runs of rows with a bounded number of tokens, or one row
                 before = int(tokens[first - 1]) if first else 0
-                after = max(first + 1, int(np.searchsorted(tokens, before + _LINKS, "right")))
+                after = max(first + 1, int(np.searchsorted(tokens, before + _MOST_TOKENS, "right")))
                 flat = [x.slice(first, after - first).flatten().to_numpy() for x in lists]
                 counts = [n[first:after] for n in lengths]
-                yield pa.RecordBatch.from_arrays([batch.column(key).slice(first, after - first), *_link_columns(*flat, *counts)], schema.names)
+                yield pa.RecordBatch.from_arrays([batch.column(key).slice(first, after - first), *_link_columns(*flat, *counts)], names)
                 first = after
 
-    return aligned.mapInArrow(run, schema)
+    return run
+
+
+def link_rows(aligned: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Key, ``n_a, n_b, n_groups, n_links, groups_sha256``, distinct ``pairs`` and how many ``times`` each is linked."""
+    schema = _link_schema(aligned, key)
+    return aligned.mapInArrow(_linker(key, schema.names), schema)
+
+
+def linked(docs: DataFrame, byte_bpe: str, piece_bpe: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``link_rows(align(docs))`` in one pass through the same workers."""
+    schema = _link_schema(docs, key)
+    encode, link = _aligner(byte_bpe, piece_bpe, key, ["a_ids", "b_ids", "a_sizes", "b_sizes"]), _linker(key, schema.names)
+    return _texts(docs, key, text).mapInArrow(lambda batches: link(encode(batches)), schema)
 
 
 def _link_columns(a_ids, b_ids, a_sizes, b_sizes, n_a, n_b, n_groups, _) -> list[pa.Array]:

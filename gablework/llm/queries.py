@@ -123,8 +123,8 @@ def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
 
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     ship(spark)
-    aligned = alignment.align(table(spark, folder, "documents"), byte_bpe(), piece_bpe())
-    scored = alignment.corpus_scores(alignment.link_rows(aligned))
+    linked = alignment.linked(table(spark, folder, "documents"), byte_bpe(), piece_bpe())
+    scored = alignment.corpus_scores(linked)
     return scored.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 

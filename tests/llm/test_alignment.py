@@ -72,7 +72,7 @@ COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
 
 
 def rows_of(docs, **options):
-    linked = alignment.link_rows(alignment.align(docs, byte_bpe(), piece_bpe()))
+    linked = alignment.linked(docs, byte_bpe(), piece_bpe())
     return sorted([tuple(r) for r in alignment.corpus_scores(linked, **options).select(*COLUMNS).collect()], key=str)
 
 
@@ -97,6 +97,8 @@ def test_table_equals_brute_force(shipped, tables, encode):
     assert rows_of(docs) == expected
     assert rows_of(docs.repartition(6), frequent_pairs=50) == expected
     assert rows_of(docs, frequent_pairs=0) == expected
+    apart = alignment.link_rows(alignment.align(docs, byte_bpe(), piece_bpe()))
+    assert sorted(map(str, apart.collect())) == sorted(map(str, alignment.linked(docs, byte_bpe(), piece_bpe()).collect()))
 
 
 def test_odd_rows(odd, empty, encode):
