@@ -17,6 +17,7 @@ from pyspark.sql.types import DataType, StringType, StructField, StructType, _pa
 
 from gablework.functions.missing import quoted
 from gablework.functions.numbers import GROUPED_NUMBER
+from gablework.sources.quoted_lines import records
 
 # Tokens that pandas.read_csv takes as missing.
 PANDAS_NA = (
@@ -37,7 +38,7 @@ class Dialect:
     na_tokens: Sequence[str] = PANDAS_NA
     sep: str = ","
     grouped_numbers: bool = False  # "1,234" is a number, as readr guesses
-    multi_line: bool = False  # quoted line breaks; such a file cannot be split
+    multi_line: bool = False  # quoted line breaks; lines are put together first, in splits
 
 
 PANDAS = Dialect()
@@ -96,16 +97,23 @@ def _read_alike(
     spark: SparkSession, path: str | list[str], names: Sequence[str] | None, dialect: Dialect, on_bad: str
 ) -> DataFrame:
     reader = _reader(spark, dialect)
-    names = reader.csv(path).columns if names is None else list(names)
-    fields = [StructField(n, StringType()) for n in names]
-    if on_bad == "null":
-        return blank_tokens(reader.schema(StructType(fields)).csv(path), dialect.na_tokens)
+    if names is None:
+        header = reader.csv(path).columns
+        names = [n.removesuffix("\r") if dialect.multi_line else n for n in header]
     raw = "_unfit_row"
     while raw in names:
         raw = "_" + raw
-    # The parser counts a row's values only when it keeps them all.
-    reader = reader.options(columnNameOfCorruptRecord=raw, columnPruning=False)
-    rows = reader.schema(StructType([*fields, StructField(raw, StringType())])).csv(path)
+    if dialect.multi_line:
+        rows = _parse_records(records(spark, path, dialect.sep), names, raw, dialect)
+    elif on_bad == "null":
+        rows = reader.schema(StructType([StructField(n, StringType()) for n in names])).csv(path)
+        return blank_tokens(rows, dialect.na_tokens)
+    else:
+        # The parser counts a row's values only when it keeps them all.
+        reader = reader.options(columnNameOfCorruptRecord=raw, columnPruning=False)
+        rows = reader.schema(StructType([StructField(n, StringType()) for n in [*names, raw]])).csv(path)
+    if on_bad == "null":
+        return blank_tokens(rows.drop(raw), dialect.na_tokens)
     # Spark refuses to read the unfit rows alone, so the message also names a value.
     told = F.concat(
         F.lit(f"not a row of {len(names)} values (a quoted line break needs multi_line=True): "),
@@ -117,6 +125,13 @@ def _read_alike(
     return blank_tokens(rows.filter(fit).drop(raw), dialect.na_tokens)
 
 
+def _parse_records(rows: DataFrame, names: Sequence[str], raw: str, dialect: Dialect) -> DataFrame:
+    schema = ", ".join(f"{quoted(n)} STRING" for n in [*names, raw])
+    options = {"sep": dialect.sep, "quote": '"', "escape": '"', "multiLine": "true", "columnNameOfCorruptRecord": raw}
+    parsed = rows.select(F.from_csv("record", schema, {**options, "mode": "PERMISSIVE"}).alias("values"))
+    return parsed.select("values.*")
+
+
 def apply_types(
     text: DataFrame, schema: StructType, dialect: Dialect = PANDAS, on_bad: str = "error"
 ) -> DataFrame:
