@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.feature import (
     PCA,
-    Bucketizer,
     MinMaxScaler,
     QuantileDiscretizer,
     StandardScaler,
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gablework.functions.missing import quoted
-from gablework.functions.quantiles import exact_quantiles
+from gablework.functions.quantiles import KeyOrder, exact_quantiles
 
 FEATURES = "features"
 SCALED = "normalized_features"
@@ -57,16 +57,37 @@ def quantile_discretizer(column: str, buckets: int = 20, output: str | None = No
     )
 
 
-def fit_exact_buckets(df: DataFrame, column: str, buckets: int = 20, output: str | None = None) -> Bucketizer:
+@dataclass(frozen=True)
+class ExactBuckets:
+    """Bucket numbers by comparison with exact cut points, in the column's own type.
+
+    A bucket holds its lower end. Missing values go to a last bucket of their own.
+    """
+
+    column: str
+    cuts: tuple
+    output: str
+
+    def getSplits(self) -> list:
+        return [-math.inf, *self.cuts, math.inf]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        order, value = KeyOrder.of(df.schema[self.column].dataType), "_bucketed"
+        while value in df.columns:
+            value = "_" + value
+        last = float(len(self.cuts) + 1)
+        valued = df.withColumn(value, order.of_column(df, self.column))
+        bucket = F.expr(f"if({value} IS NULL, {last!r}D, double({order.cell(value, self.cuts)}))")
+        return valued.withColumn(self.output, bucket).drop(value)
+
+
+def fit_exact_buckets(df: DataFrame, column: str, buckets: int = 20, output: str | None = None) -> ExactBuckets:
     """Exact cut points at any size. Equal ones collapse, so heavy ties give fewer buckets."""
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = exact_quantiles(df, {column: shares})[column]
-    splits = [-math.inf, *sorted({c for c in cuts if c is not None}), math.inf]
-    if len(splits) == 2:
+    cuts = {c for c in exact_quantiles(df, {column: shares})[column] if c is not None}
+    if not cuts:
         raise ValueError(f"{column} has no values to bucket")
-    return Bucketizer(
-        splits=splits, inputCol=column, outputCol=output or f"{column}_discretized", handleInvalid="keep"
-    )
+    return ExactBuckets(column, tuple(sorted(cuts)), output or f"{column}_discretized")
 
 
 def pca_stages(k: int = 9, scale_first: bool = False, source: str = FEATURES, output: str = PROJECTED) -> list:

@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from decimal import Context, Decimal
+from fractions import Fraction
+from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType, LongType
 
 from gablework.functions.missing import present, quoted
 from gablework.functions.ordering import OrderBlocks, range_blocks
@@ -26,30 +30,64 @@ def fill_literal(df: DataFrame, value: str = "None", columns: Sequence[str] | No
 
 @dataclass(frozen=True)
 class StatisticFills:
-    """Fitted fill values; a column without any value has none and stays as it is."""
+    """Fitted fill values; a column without any value has none and stays as it is.
 
-    values: dict[str, float | None] = field(default_factory=dict)
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        return df.withColumns(
-            {
-                name: F.coalesce(present(df, name).cast("double"), F.lit(value))
-                for name, value in self.values.items()
-                if value is not None
-            }
-        )
+    Filled columns become double, as a fill may lie between whole numbers, unless
+    ``keep_types``: then they keep their type exactly, and the fill is rounded to it (half to even).
+    """
 
+    values: dict[str, Any] = field(default_factory=dict)
+    keep_types: bool = False
 
-def fit_fills(df: DataFrame, mean: Sequence[str] = (), median: Sequence[str] = ()) -> StatisticFills:
+    def apply(self, df: DataFrame) -> DataFrame:
+        return df.withColumns({name: self._filled(df, name, v) for name, v in self.values.items() if v is not None})
+
+    def _filled(self, df: DataFrame, name: str, value: Any) -> Column:
+        if not self.keep_types:
+            return F.coalesce(present(df, name).cast("double"), F.lit(float(value)))
+        kind = df.schema[name].dataType
+        if isinstance(kind, IntegralType):
+            value = round(value)
+        elif isinstance(kind, DecimalType):
+            value = round(Decimal(value), kind.scale)
+        return F.coalesce(present(df, name), F.lit(str(value)).cast(kind))
+
+
+def _exact_sum(df: DataFrame, name: str) -> Column:
+    """Whole numbers and decimals add up without rounding; others as doubles."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, IntegralType):
+        return F.sum(present(df, name).cast("decimal(38,0)" if isinstance(kind, LongType) else "bigint"))
+    return F.sum(present(df, name).cast(kind if isinstance(kind, DecimalType) else "double"))
+
+
+def fit_fills(
+    df: DataFrame, mean: Sequence[str] = (), median: Sequence[str] = (), keep_types: bool = False
+) -> StatisticFills:
     """Learn means and exact medians. Fit on the training rows, apply to all."""
-    values: dict[str, float | None] = {}
+    values: dict[str, Any] = {}
     if mean:
-        row = df.agg(*[F.avg(present(df, c).cast("double")).alias(f"m{i}") for i, c in enumerate(mean)]).first()
-        values.update({c: row[f"m{i}"] for i, c in enumerate(mean)})
+        sums = [_exact_sum(df, c).alias(f"s{i}") for i, c in enumerate(mean)]
+        counts = [F.count(present(df, c)).alias(f"n{i}") for i, c in enumerate(mean)]
+        row = df.agg(*sums, *counts).first()
+        for i, c in enumerate(mean):
+            values[c] = _mean(row[f"s{i}"], row[f"n{i}"])
     if median:
         found = exact_quantiles(df, {c: [0.5] for c in median}, interpolate=True)
         values.update({c: v[0] for c, v in found.items()})
-    return StatisticFills(values)
+    return StatisticFills(values, keep_types)
+
+
+def _mean(total: Any, n: int) -> Any:
+    """A float's mean is a float; others stay exact, as a whole number, a decimal or a fraction's nearest."""
+    if not n:
+        return None
+    if isinstance(total, float):
+        return total / n
+    if isinstance(total, Decimal) and total.as_tuple().exponent:
+        return Context(prec=60).divide(total, Decimal(n))
+    exact = Fraction(int(total), n)
+    return int(exact) if exact.denominator == 1 else Context(prec=60).divide(Decimal(exact.numerator), Decimal(exact.denominator))
 
 
 def fill_along(
