@@ -1,9 +1,11 @@
 """Partitionings that depend on row contents alone.
 
 Random work per partition (bagging, sampling) repeats only if every run sees the same
-partitions in the same order. Hashing the whole row gives that, except that exact copies
-of one row meet in one partition. Groups of copies too large for a task are cut into
-numbered slices first, which travel as one row with a count and unfold on arrival.
+partitions in the same order. Hashing the whole row into a number of partitions that
+follows from the row count gives that on any cluster and under any session's settings,
+except that exact copies of one row meet in one partition. Groups of copies too large for
+a task are cut into numbered slices first, which travel as one row with a count and
+unfold on arrival.
 """
 
 from __future__ import annotations
@@ -14,49 +16,54 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gablework.functions.missing import quoted
-from gablework.functions.ordering import ROWS_PER_TASK, tasks_for
 
-# Share of all rows from which a group of copies is looked for.
-SMALLEST_SHARE = 1e-4
+# A partition's rows: wanted, and at most (on average) once there are _MANY partitions.
+ROWS_PER_PARTITION, ROWS_PER_TASK, _MANY = 25_000, 2_000_000, 512
 _CHUNK = 4096
 
 
+def partitions_of(rows: int, rows_per_task: int = ROWS_PER_TASK) -> int:
+    """How many partitions so many rows are dealt into, whatever the cluster."""
+    wanted = min(_MANY, math.ceil(rows / ROWS_PER_PARTITION))
+    return max(1, wanted, math.ceil(rows / rows_per_task))
+
+
 def spread_rows(
     df: DataFrame, rows: int | None = None, partitions: int | None = None, rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """The same rows, partitioned and sorted by content.
 
-    ``rows`` is an upper bound of the row count, counted if not given. While it fits one
-    task nothing is searched. Beyond that, one pass finds every row value frequent enough
-    to matter; which others it reports along with them does not change where rows go,
-    since a group within ``slice_rows`` is never cut.
+    ``rows`` is an upper bound of the row count, counted if not given. No slice of copies
+    exceeds ``rows_per_task``; while all rows fit one task nothing is searched.
     """
     rows = df.count() if rows is None else rows
-    partitions = partitions or tasks_for(df.sparkSession, rows)
+    partitions = partitions or partitions_of(rows, rows_per_task)
     columns = list(map(quoted, df.columns))
-    slice_rows = max(rows_per_task, math.ceil(rows * SMALLEST_SHARE))
-    counted = df.withColumns({"_slice": F.lit(0).cast("long"), "_copies": F.lit(1).cast("long")})
-    if rows > slice_rows:
-        content = F.xxhash64(*columns)
-        share = max(slice_rows / rows, SMALLEST_SHARE)
-        found = df.select(content.alias("content")).freqItems(["content"], share).first()[0]
-        if found:
-            counted = _sliced(df, columns, content.isin(*found), slice_rows)
+    if rows <= rows_per_task:
+        return df.repartition(partitions, *columns).sortWithinPartitions(*columns)
+    counted = _sliced(df, columns, rows, rows_per_task)
     placed = counted.repartition(partitions, *columns, "_slice")
-    unfolded = placed if rows <= slice_rows else _repeat(placed, F.col("_copies"))
-    return unfolded.select(*columns).sortWithinPartitions(*columns)
+    return _repeat(placed, F.col("_copies")).select(*columns).sortWithinPartitions(*columns)
 
 
-def _sliced(df: DataFrame, columns: list[str], frequent: Column, slice_rows: int) -> DataFrame:
-    rare = df.filter(~frequent).withColumns({"_slice": F.lit(0).cast("long"), "_copies": F.lit(1).cast("long")})
-    groups = df.filter(frequent).groupBy(*columns).agg(F.count(F.lit(1)).alias("_all"))
+def _sliced(df: DataFrame, columns: list[str], rows: int, slice_rows: int) -> DataFrame:
+    """Rows with a slice number and a count of copies; only groups that may exceed a slice are grouped."""
+    # Rows are counted per slot of their hash; a group above the bound makes its slot exceed it.
+    slots = 1 << max(10, (16 * rows // slice_rows).bit_length())
+    slot = F.pmod(F.xxhash64(*columns), F.lit(slots))
+    loads = df.groupBy(slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_load"))
+    # At most rows / slice_rows slots, so no more of these rows than tasks of the later shuffle.
+    heavy = F.broadcast(loads.filter(F.col("_load") > slice_rows).select("_slot"))
+    marked = df.withColumn("_slot", slot)
+    rare = marked.join(heavy, "_slot", "left_anti").drop("_slot")
+    groups = marked.join(heavy, "_slot", "left_semi").groupBy(*columns).agg(F.count(F.lit(1)).alias("_all"))
     last = F.floor((F.col("_all") - 1) / slice_rows).cast("long")
     slices = groups.withColumn("_slice", F.explode(F.sequence(F.lit(0).cast("long"), last))).select(
         *columns,
         "_slice",
         F.least(F.lit(slice_rows), F.col("_all") - F.col("_slice") * slice_rows).alias("_copies"),
     )
-    return rare.unionByName(slices)
+    return rare.withColumns({"_slice": F.lit(0).cast("long"), "_copies": F.lit(1).cast("long")}).unionByName(slices)
 
 
 def _repeat(df: DataFrame, times: Column) -> DataFrame:

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 
 from gablework.functions.spreading import spread_rows
 from gablework.operators import features as ft
+from gablework.sources.scratch import checkpointed
 
 SEED = 666
 
@@ -74,8 +74,11 @@ class Recipe:
     prepare: Pipeline
     regressor: RandomForestRegressor | GBTRegressor
 
+    def stages(self) -> list:
+        return [*self.prepare.getStages(), self.regressor]
+
     def pipeline(self) -> Pipeline:
-        return Pipeline(stages=[*self.prepare.getStages(), self.regressor])
+        return Pipeline(stages=self.stages())
 
 
 def raw_forest(inputs: Inputs) -> Recipe:
@@ -101,6 +104,12 @@ def selected_forest(inputs: Inputs) -> Recipe:
     return _selected(inputs, ft.f_test_selector(inputs.label, inputs.top))
 
 
+def selected_boosting(inputs: Inputs) -> Recipe:
+    """Boosted trees on the top features by F-test."""
+    stages = [ft.assembler(inputs.columns), ft.f_test_selector(inputs.label, inputs.top)]
+    return Recipe(Pipeline(stages=stages), boosted_trees(inputs, ft.SELECTED))
+
+
 def chi_squared_forest(inputs: Inputs) -> Recipe:
     """Top features by chi-squared over quantile bins, standardized."""
     return _selected(inputs, ft.ChiSquaredSelector(labelCol=inputs.label, numTopFeatures=inputs.top))
@@ -128,13 +137,14 @@ RECIPES: dict[str, Callable[[Inputs], Recipe]] = {
 
 
 def stable_rows(df: DataFrame, rows: int | None = None, partitions: int | None = None) -> DataFrame:
-    """Training rows in a partitioning that depends on the data alone, kept for reuse.
+    """Training rows in a partitioning that depends on the data alone, written for reuse.
 
     Trees draw their samples partition by partition in row order, so equal seeds give
-    equal models only over equal partitions. One shuffle buys that for all fits made on
-    the result; ``unpersist`` it after them. ``rows`` is an upper bound of the row count.
+    equal models only over equal partitions. How many there are follows from ``rows``, an upper
+    bound of the row count (counted if not given), and not from the session; ``partitions``
+    overrides it. One shuffle buys that for all fits, which read the partitions as they were written.
     """
-    return spread_rows(df, rows, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    return checkpointed(spread_rows(df, rows, partitions))
 
 
 def fit_recipe(recipe: Recipe, train: DataFrame) -> PipelineModel:

@@ -460,10 +460,7 @@ def _train_and_test(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFr
 def _predictions(recipe: str) -> Query:
     def build(spark: SparkSession, folder: str) -> DataFrame:
         train, test = _train_and_test(spark, folder)
-        try:
-            model = rc.fit_recipe(rc.RECIPES[recipe](_inputs()), train)
-        finally:
-            train.unpersist()
+        model = rc.fit_recipe(rc.RECIPES[recipe](_inputs()), train)
         return model.transform(test).select(*LINEITEM_KEY, LINEITEM_LABEL, "prediction")
 
     return build
@@ -478,19 +475,19 @@ QUERIES["rf_chi_squared"] = _predictions("forest_chi_squared")
 QUERIES["rf_pca"] = _predictions("forest_pca")
 
 
-def _grid(name: str) -> Query:
+def _tuned(recipe: rc.Recipe, columns, grid, train: DataFrame, test: DataFrame) -> DataFrame:
     """The grid's cross-validated errors, and the refitted winner's error on the hold-out."""
+    found = tuning.grid_search(recipe, train, "fold", grid)
+    model = tuning.refit_best(recipe, train, found)
+    error = model.transform(test).agg(evaluate.rmse(LINEITEM_LABEL)).first()[0]
+    return found.report(train.sparkSession, columns, error)
+
 
+def _grid(name: str) -> Query:
     def build(spark: SparkSession, folder: str) -> DataFrame:
-        train, test = _train_and_test(spark, folder)
         recipe = rc.RECIPES[name](_inputs())
-        try:
-            found = tuning.grid_search(recipe, train, "fold")
-            model = tuning.refit_best(recipe, train, found)
-        finally:
-            train.unpersist()
-        error = model.transform(test).agg(evaluate.rmse(LINEITEM_LABEL)).first()[0]
-        return spark.createDataFrame(found.rows(error), tuning.GRID_SCHEMA)
+        columns = {"num_trees": recipe.regressor.numTrees, "max_depth": recipe.regressor.maxDepth}
+        return _tuned(recipe, columns, None, *_train_and_test(spark, folder))
 
     return build
 
@@ -499,17 +496,22 @@ QUERIES["cv_grid"] = _grid("forest_standardized")
 QUERIES["cv_selected"] = _grid("forest_selected")
 
 
+@query
+def cv_boosting(spark: SparkSession, folder: str) -> DataFrame:
+    """Rounds and depth of boosted trees, and how many features they are given, by cross-validation."""
+    recipe = rc.selected_boosting(_inputs())
+    selector, trees = recipe.prepare.getStages()[-1], recipe.regressor
+    columns = {"top": selector.selectionThreshold, "rounds": trees.maxIter, "max_depth": trees.maxDepth}
+    grid = tuning.grid_of({columns["top"]: [3.0, 5.0], columns["rounds"]: [4, 8], columns["max_depth"]: [2, 3]})
+    return _tuned(recipe, columns, grid, *_train_and_test(spark, folder))
+
+
 @query
 def compare_recipes(spark: SparkSession, folder: str) -> DataFrame:
-    """Training and hold-out error of every recipe, fitted on one kept training set."""
+    """Training and hold-out error of every recipe, fitted on one written training set."""
     train, test = _train_and_test(spark, folder)
-    try:
-        models = {name: rc.fit_recipe(make(_inputs()), train) for name, make in rc.RECIPES.items()}
-        report = tuning.compare_recipes(models, {"train": train.drop("fold"), "test": test}, LINEITEM_LABEL)
-        scores = report.collect()  # one row per recipe and part
-    finally:
-        train.unpersist()
-    return spark.createDataFrame(scores, report.schema)
+    models = {name: rc.fit_recipe(make(_inputs()), train) for name, make in rc.RECIPES.items()}
+    return tuning.compare_recipes(models, {"train": train.drop("fold"), "test": test}, LINEITEM_LABEL)
 
 
 # ---- the chain -----------------------------------------------------------------------

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from gablework.functions.spreading import spread_rows
+from gablework.functions.spreading import partitions_of, spread_rows
 
 
 @pytest.fixture(scope="module")
@@ -50,3 +50,18 @@ def test_a_loose_row_bound_is_enough(copies):
     exact = layout(spread_rows(copies, rows=6000, partitions=5, rows_per_task=500))
     loose = layout(spread_rows(copies, rows=9000, partitions=5, rows_per_task=500))
     assert exact == loose
+
+
+def test_partitions_follow_from_the_row_count_alone():
+    counts = [1, 25_000, 25_001, 10**7, 10**8, 10**9, 10**12]
+    assert [partitions_of(n) for n in counts] == [1, 1, 2, 400, 512, 512, 500_000]
+    assert all(n / partitions_of(n) <= 2_000_000 for n in counts)
+
+
+def test_slices_stay_below_the_bound_whatever_the_table(spark):
+    """A group of copies one five-thousandth of the rows is cut too."""
+    rows = spark.range(50_000).select(F.when(F.col("id") < 60, -1).otherwise(F.col("id")).alias("x"))
+    out = spread_rows(rows, partitions=40, rows_per_task=10)
+    parts = out.filter("x = -1").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in parts) == 60 and len(parts) >= 4
+    assert out.count() == 50_000
