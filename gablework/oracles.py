@@ -208,6 +208,15 @@ ORACLES: dict[str, str] = {
           SELECT p_brand, row_number() OVER (ORDER BY avg(p_retailprice), p_brand)::INTEGER AS brand_code
           FROM part GROUP BY p_brand)
         SELECT p_partkey, p_brand, p_retailprice, brand_code FROM part JOIN ranked USING (p_brand)""",
+    "csv_scan_readr": """
+        WITH t AS (
+          SELECT *, o_orderdate + to_seconds(o_orderkey % 86400) AS placed FROM orders)
+        SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'O' THEN TRUE WHEN 'F' THEN FALSE END AS open,
+               date_diff('day', DATE '1990-01-01', o_orderdate::DATE)::INTEGER AS days,
+               CASE WHEN o_orderkey % 2 = 0 THEN floor(epoch(placed) % 86400 / 60) * 60 ELSE epoch(placed) % 86400 END::DOUBLE AS seconds,
+               CASE WHEN o_orderkey % 3 = 0 THEN epoch(placed) ELSE epoch(date_trunc('day', placed)) END::BIGINT AS moment,
+               strftime(o_orderdate, '%Y-%m') AS month
+        FROM t""",
     "hash_split": f"""
         SELECT o_orderkey,
                CASE WHEN {_hash("o_orderkey", 666, 1000000)} < 700000 THEN 'train' ELSE 'test' END AS part

@@ -125,6 +125,21 @@ def projected_forest(inputs: Inputs) -> Recipe:
     return Recipe(Pipeline(stages=stages), forest(inputs, ft.PROJECTED))
 
 
+def of_depth_one(recipe: Recipe, rounds: int = 3, bins: int = 64) -> Recipe:
+    """The recipe with one tree of one split in place of its forest, or ``rounds`` of them boosted.
+
+    Such a model is exact: every row is used, every feature tried, and every border between values if a
+    feature has fewer than ``bins``. It checks a recipe's other steps against plain sums.
+    """
+    model = recipe.regressor
+    sizes = {model.maxDepth: 1, model.maxBins: bins}
+    if isinstance(model, GBTRegressor):
+        sizes[model.maxIter] = rounds
+    else:
+        sizes |= {model.numTrees: 1, model.bootstrap: False, model.featureSubsetStrategy: "all"}
+    return Recipe(recipe.prepare, model.copy(sizes))
+
+
 RECIPES: dict[str, Callable[[Inputs], Recipe]] = {
     "forest": raw_forest,
     "boosting": raw_boosting,

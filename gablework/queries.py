@@ -91,6 +91,32 @@ def csv_scan_dirty(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def csv_scan_readr(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as text with T and F, dates, times of day and date-times, typed by what every value is."""
+    orders = table(spark, folder, "orders")
+    at = F.expr("o_orderdate + make_dt_interval(0, 0, 0, o_orderkey % 86400)")
+    text = orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.when(F.col("o_orderstatus") == "O", "T").when(F.col("o_orderstatus") == "F", "F").otherwise("NA").alias("open"),
+        F.date_format("o_orderdate", "yyyy/MM/dd").alias("day"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.date_format(at, "HH:mm")).otherwise(F.date_format(at, "h:mm:ss a")).alias("clock"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+        .otherwise(F.date_format(at, "yyyy-MM-dd"))
+        .alias("moment"),
+        F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+    )
+    path = write_delimited(text, fresh_path(spark, "csv_scan_readr"))
+    return read_delimited(spark, path, dialect=READR).select(
+        "id",
+        "open",
+        F.datediff("day", F.lit("1990-01-01").cast("date")).alias("days"),
+        F.col("clock").alias("seconds"),
+        F.unix_timestamp("moment").alias("moment"),
+        "month",
+    )
+
+
 @query
 def csv_scan_semicolon(spark: SparkSession, folder: str) -> DataFrame:
     suppliers = table(spark, folder, "supplier")
@@ -514,6 +540,104 @@ def compare_recipes(spark: SparkSession, folder: str) -> DataFrame:
     return tuning.compare_recipes(models, {"train": train.drop("fold"), "test": test}, LINEITEM_LABEL)
 
 
+# ---- models that SQL can follow ------------------------------------------------------
+
+STRONG = ("price_band", "l_quantity", "l_discount", "l_tax", "line_number")
+WEAK = STRONG[1:]
+
+
+def _stump_parts(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Training and test rows whose features have few values each."""
+    rows = lineitem_features(spark, folder).select(
+        *LINEITEM_KEY, LINEITEM_LABEL, *WEAK, F.floor(F.col("l_extendedprice") / 4000).cast("double").alias("price_band")
+    )
+    train, test = split.hash_split(rows, LINEITEM_KEY)
+    return rc.stable_rows(split.with_fold(train, LINEITEM_KEY), table(spark, folder, "lineitem").count()), test
+
+
+def _strong() -> rc.Inputs:
+    return rc.Inputs(columns=STRONG, label=LINEITEM_LABEL)
+
+
+def _weak(top: int) -> rc.Inputs:
+    return rc.Inputs(columns=WEAK, label=LINEITEM_LABEL, top=top)
+
+
+def _scored(recipe: rc.Recipe, train: DataFrame, test: DataFrame, name: str = "prediction") -> DataFrame:
+    scored = rc.fit_recipe(rc.of_depth_one(recipe), train).transform(test)
+    return scored.select(*test.columns, F.round("prediction", 4).alias(name))
+
+
+@query
+def rf_stump(spark: SparkSession, folder: str) -> DataFrame:
+    scored = _scored(rc.raw_forest(_strong()), *_stump_parts(spark, folder))
+    return scored.select(*LINEITEM_KEY, "prediction")
+
+
+@query
+def rf_stump_scaled(spark: SparkSession, folder: str) -> DataFrame:
+    """Scaling moves a split's place but not what it separates."""
+    train, test = _stump_parts(spark, folder)
+    scored = _scored(rc.standardized_forest(_strong()), train, test, "standardized")
+    return _scored(rc.minmax_forest(_strong()), train, scored, "minmax").select(*LINEITEM_KEY, "standardized", "minmax")
+
+
+@query
+def rf_stump_selected(spark: SparkSession, folder: str) -> DataFrame:
+    scored = _scored(rc.selected_forest(_weak(1)), *_stump_parts(spark, folder))
+    return scored.select(*LINEITEM_KEY, "prediction")
+
+
+@query
+def gbt_stumps(spark: SparkSession, folder: str) -> DataFrame:
+    scored = _scored(rc.raw_boosting(_strong()), *_stump_parts(spark, folder))
+    return scored.select(*LINEITEM_KEY, "prediction")
+
+
+@query
+def cv_stump_grid(spark: SparkSession, folder: str) -> DataFrame:
+    recipe = rc.of_depth_one(rc.raw_boosting(_strong()))
+    columns = {"rounds": recipe.regressor.maxIter, "step": recipe.regressor.stepSize}
+    grid = tuning.grid_of({columns["rounds"]: [1, 2], columns["step"]: [0.1, 0.5]})
+    return _tuned(recipe, columns, grid, *_stump_parts(spark, folder)).withColumns(rounded(["avg_rmse", "holdout_rmse"], 4))
+
+
+@query
+def cv_stump_selected(spark: SparkSession, folder: str) -> DataFrame:
+    """How many features the selection keeps, tuned; folds select for themselves."""
+    recipe = rc.of_depth_one(rc.selected_forest(_weak(1)))
+    columns = {"top": recipe.prepare.getStages()[1].selectionThreshold}
+    found = _tuned(recipe, columns, tuning.grid_of({columns["top"]: [1.0, 4.0]}), *_stump_parts(spark, folder))
+    return found.withColumns(rounded(["avg_rmse", "holdout_rmse"], 4))
+
+
+@query
+def compare_stumps(spark: SparkSession, folder: str) -> DataFrame:
+    train, test = _stump_parts(spark, folder)
+    recipes = {
+        "stump": rc.raw_forest(_strong()),
+        "stump_minmax": rc.minmax_forest(_strong()),
+        "boosted_stumps": rc.raw_boosting(_strong()),
+    }
+    models = {name: rc.fit_recipe(rc.of_depth_one(recipe), train) for name, recipe in recipes.items()}
+    report = tuning.compare_recipes(models, {"train": train.drop("fold"), "test": test}, LINEITEM_LABEL)
+    return report.withColumn("rmse", F.round("rmse", 4))
+
+
+@query
+def pca_pair(spark: SparkSession, folder: str) -> DataFrame:
+    """Both components of two columns, signs left aside, and their shares of the variance."""
+    rows = table(spark, folder, "lineitem").select(*LINEITEM_KEY, "l_quantity", "l_extendedprice")
+    model = Pipeline(stages=[ft.assembler(["l_quantity", "l_extendedprice"]), *ft.pca_stages(2)]).fit(rows)
+    projected = ft.spread_vector(model.transform(rows).select(*LINEITEM_KEY, ft.PROJECTED), ft.PROJECTED, ["first", "second"])
+    shares = model.stages[-1].explainedVariance.toArray().tolist()
+    return projected.select(
+        *LINEITEM_KEY,
+        *[F.round(F.abs(c), 4).alias(c) for c in ("first", "second")],
+        *[F.round(F.lit(s), 8).alias(f"{c}_share") for c, s in zip(("first", "second"), shares)],
+    )
+
+
 # ---- the chain -----------------------------------------------------------------------
 
 

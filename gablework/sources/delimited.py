@@ -13,7 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StringType, StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import DataType, DateType, DoubleType, StringType, StructField, StructType, TimestampType, _parse_datatype_string
 
 from gablework.functions.missing import quoted
 from gablework.functions.numbers import GROUPED_NUMBER
@@ -31,6 +31,10 @@ _WHOLE = r"^\s*[+-]?[0-9]+\s*$"
 _REAL = r"^\s*[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI]nf(inity)?)\s*$"
 _JAVA_SUFFIX = r"[0-9.][dDfF]\s*$"  # what a cast would take as part of a number
 _TRUTH = r"^(True|TRUE|true|False|FALSE|false)$"
+_TRUTH_LETTER = r"^(T|F|True|TRUE|true|False|FALSE|false)$"
+_DATE = r"^[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}$"
+_DATETIME = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?(Z|[+-][0-9]{2}:?[0-9]{2})?$"
+_TIME = r"^([0-9]{1,2}):([0-9]{2})(?::([0-9]{2}(?:[.][0-9]+)?))?(?: ?([AaPp])[Mm])?$"
 
 
 @dataclass(frozen=True)
@@ -38,11 +42,12 @@ class Dialect:
     na_tokens: Sequence[str] = PANDAS_NA
     sep: str = ","
     grouped_numbers: bool = False  # "1,234" is a number, as readr guesses
+    dates: bool = False  # dates, times, date-times and the letters T and F are guessed too, as readr does
     multi_line: bool = False  # quoted line breaks; lines are put together first, in splits
 
 
 PANDAS = Dialect()
-READR = Dialect(na_tokens=READR_NA, grouped_numbers=True)
+READR = Dialect(na_tokens=READR_NA, grouped_numbers=True, dates=True)
 
 
 def read_delimited(
@@ -145,34 +150,77 @@ def blank_tokens(text: DataFrame, tokens: Sequence[str]) -> DataFrame:
     )
 
 
+# What a column may be, narrowest first, with the dialect's say; it is the first that all its values are.
+# A time of day is seconds since midnight, in double, as readr's own class stores it.
+_TIME_OF_DAY = {"time_of_day": True}
+_LADDER = ("truth", "whole", "real", "grouped", "time", "date", "datetime")
+_KINDS = {
+    "truth": "boolean",
+    "whole": "bigint",
+    "real": "double",
+    "grouped": "double",
+    "time": "double",
+    "date": "date",
+    "datetime": "timestamp",
+}
+
+
+def _fits(value: Column, dialect: Dialect) -> dict[str, Column]:
+    """Whether a value is of each kind."""
+    real = value.rlike(_REAL)
+    kinds = {
+        "truth": value.rlike(_TRUTH_LETTER if dialect.dates else _TRUTH),
+        "whole": value.rlike(_WHOLE) & value.try_cast("long").isNotNull(),
+        "real": real,
+    }
+    if dialect.grouped_numbers:
+        kinds["grouped"] = real | value.rlike(GROUPED_NUMBER)
+    if dialect.dates:
+        day = value.rlike(_DATE) & _as_date(value).isNotNull()
+        kinds["time"] = _seconds(value).isNotNull()
+        kinds["date"] = day
+        kinds["datetime"] = day | (value.rlike(_DATETIME) & _as_moment(value).isNotNull())
+    return kinds
+
+
+def _as_date(text: Column) -> Column:
+    return F.regexp_replace(text, "/", "-").try_cast("date")
+
+
+def _as_moment(text: Column) -> Column:
+    """A date or date-time; without a zone it is in the session's. Seconds and the zone's colon may be left out."""
+    spelled = F.regexp_replace(text, r"^(.{10}[ T].{5})(Z|[+-].*)?$", "$1:00$2")
+    return F.regexp_replace(spelled, r"([+-][0-9]{2})([0-9]{2})$", "$1:$2").try_cast("timestamp")
+
+
+def _seconds(text: Column) -> Column:
+    """Seconds since midnight of a time on a 24-hour or, with am or pm, a 12-hour clock."""
+    hour, minute, second = (F.regexp_extract(text, _TIME, i).try_cast("double") for i in (1, 2, 3))
+    half = F.lower(F.regexp_extract(text, _TIME, 4))
+    known = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
+    second = F.coalesce(second, F.lit(0.0))
+    valid = text.rlike(_TIME) & (known < 24) & (minute < 60) & (second < 60)
+    return F.when(valid, known * 3600 + minute * 60 + second)
+
+
 def infer_types(text: DataFrame, dialect: Dialect = PANDAS) -> StructType:
     """Narrowest type that fits every non-null value; one aggregate for all columns."""
     checks = []
     for i, name in enumerate(text.columns):
         value = F.col(quoted(name))
-        checks += [
-            F.count(value).alias(f"n{i}"),
-            F.count_if(value.rlike(_WHOLE) & value.try_cast("long").isNotNull()).alias(f"whole{i}"),
-            F.count_if(value.rlike(_REAL)).alias(f"real{i}"),
-            F.count_if(value.rlike(_TRUTH)).alias(f"truth{i}"),
-            F.count_if(value.rlike(_REAL) | value.rlike(GROUPED_NUMBER)).alias(f"grouped{i}"),
-        ]
-    seen = text.agg(*checks).first()
-
-    def pick(i: int) -> str:
+        checks.append(F.count(value).alias(f"n{i}"))
+        checks += [F.count_if(fits).alias(f"{kind}{i}") for kind, fits in _fits(value, dialect).items()]
+    seen = text.agg(*checks).first().asDict()
+
+    def pick(i: int, name: str) -> StructField:
         n = seen[f"n{i}"]
         if n == 0:
-            return "double"
-        if seen[f"truth{i}"] == n:
-            return "boolean"
-        if seen[f"whole{i}"] == n:
-            return "bigint"
-        if seen[f"real{i}"] == n or (dialect.grouped_numbers and seen[f"grouped{i}"] == n):
-            return "double"
-        return "string"
+            return StructField(name, DoubleType())
+        found = next((kind for kind in _LADDER if seen.get(f"{kind}{i}") == n), None)
+        dtype = StringType() if found is None else _parse_datatype_string(_KINDS[found])
+        return StructField(name, dtype, True, _TIME_OF_DAY if found == "time" else None)
 
-    fields = [StructField(name, _parse_datatype_string(pick(i))) for i, name in enumerate(text.columns)]
-    return StructType(fields)
+    return StructType([pick(i, name) for i, name in enumerate(text.columns)])
 
 
 def _typed(field: StructField, dialect: Dialect, on_bad: str) -> Column:
@@ -184,7 +232,14 @@ def _typed(field: StructField, dialect: Dialect, on_bad: str) -> Column:
         body = F.when(text.rlike(GROUPED_NUMBER), F.regexp_replace(text, ",", "")).otherwise(text)
     if field.dataType.typeName() in ("double", "float"):
         body = F.when(~body.rlike(_JAVA_SUFFIX), body)
-    value = body.try_cast(field.dataType)
+    if field.metadata == _TIME_OF_DAY:
+        value = _seconds(text)
+    elif isinstance(field.dataType, DateType):
+        value = _as_date(text)
+    elif isinstance(field.dataType, TimestampType):
+        value = F.when(text.rlike(_DATE), _as_date(text).cast("timestamp")).otherwise(_as_moment(text))
+    else:
+        value = body.try_cast(field.dataType)
     if on_bad == "null":
         return value
     return F.when(text.isNotNull() & value.isNull(), _complain(field.name, text, field.dataType)).otherwise(value)

@@ -140,3 +140,29 @@ def test_materialized_frames_have_no_lineage(spark):
     df = materialize(spark.range(5).withColumn("x", F.col("id") * 2), "test")
     assert "Range" not in df._jdf.queryExecution().optimizedPlan().toString()
     assert df.agg(F.sum("x")).first()[0] == 20
+
+
+def test_readr_types(spark, write):
+    path = write(
+        "l,l2,d,t,dt,mixed,n,bad,tf\n"
+        "T,true,2020-02-29,1:05,2020-01-01T10:30:00Z,2020-01-01,1,2020-02-30,T\n"
+        "F,FALSE,2021/3/5,12:00 AM,2020-01-01 10:30:15.5,2020-01-01 01:00,2.5,2020-01-01,F\n"
+        "NA,NA,NA,11:59:59.5 pm,2020-01-01T10:30+02:00,,,NA,x\n"
+    )
+    df = read_delimited(spark, path, dialect=READR)
+    assert [t for _, t in df.dtypes] == [
+        "boolean", "boolean", "date", "double", "timestamp", "timestamp", "double", "string", "string",
+    ]
+    rows = df.select("l", "l2", "d", "t", F.unix_micros("dt").alias("dt")).collect()
+    assert [r.l for r in rows] == [True, False, None] and [r.l2 for r in rows] == [True, False, None]
+    assert [str(r.d) for r in rows] == ["2020-02-29", "2021-03-05", "None"]
+    assert [r.t for r in rows] == [3900.0, 0.0, 86399.5]
+    base = 1577836800_000_000
+    assert [r.dt - base for r in rows] == [37_800_000_000, 37_815_500_000, 30_600_000_000]
+    assert [t for _, t in read_delimited(spark, path).dtypes] == ["string", "boolean"] + ["string"] * 4 + ["double", "string", "string"]
+
+
+def test_times_must_be_on_the_clock(spark, write):
+    assert read_delimited(spark, write("t\n24:00\n"), dialect=READR).dtypes == [("t", "string")]
+    assert read_delimited(spark, write("t\n13:00 pm\n", "b.csv"), dialect=READR).dtypes == [("t", "string")]
+    assert read_delimited(spark, write("t\n0:60\n", "c.csv"), dialect=READR).dtypes == [("t", "string")]
