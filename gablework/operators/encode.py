@@ -12,10 +12,13 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 
 from gablework.functions.missing import is_missing, present, quoted
 from gablework.functions.ordering import number_rows
+from gablework.sources.scratch import materialize
 
 # A lookup is collected and broadcast only within both bounds: at most 8 MB of names.
 BROADCAST_ROWS = 20_000
 LONGEST_NAME = 400  # bytes
+# With a larger lookup, a category with more than one row in so many is hot.
+HOT_SHARE = 1_000
 
 
 def encode_mapping(
@@ -34,7 +37,9 @@ def encode_mapping(
     kind = StructField("category", df.schema[column].dataType)
     lookup = df.sparkSession.createDataFrame(pairs, StructType([kind, StructField("code", IntegerType())]))
     small = len(pairs) <= BROADCAST_ROWS and all(len(str(k).encode()) <= LONGEST_NAME for k in mapping)
-    return _look_up(df, column, F.broadcast(lookup) if small else lookup, output or column, on_unmapped)
+    if not small:
+        return _look_up_large(df, column, lookup, output or column, on_unmapped)
+    return _look_up(df, column, F.broadcast(lookup), output or column, on_unmapped)
 
 
 @dataclass(frozen=True)
@@ -47,9 +52,9 @@ class TargetOrder:
 
     def apply(self, df: DataFrame, output: str | None = None, on_unmapped: str | int = "null") -> DataFrame:
         lookup = self.table.select("category", "code")
-        return _look_up(
-            df, self.column, F.broadcast(lookup) if self.small else lookup, output or self.column, on_unmapped
-        )
+        if not self.small:
+            return _look_up_large(df, self.column, lookup, output or self.column, on_unmapped)
+        return _look_up(df, self.column, F.broadcast(lookup), output or self.column, on_unmapped)
 
 
 def fit_target_order(df: DataFrame, column: str, target: str, most_broadcast: int | None = None) -> TargetOrder:
@@ -90,16 +95,42 @@ def _bounded_rows(means: DataFrame, most: int) -> list | None:
 
 
 def _look_up(df: DataFrame, column: str, lookup: DataFrame, output: str, on_unmapped: str | int) -> DataFrame:
-    names = [c for c in df.columns if c != output]
-    joined = df.join(
-        lookup.withColumnsRenamed({"category": "_category", "code": "_code"}),
-        F.col(quoted(column)) == F.col("_category"),
-        "left",
-    )
-    code = _or_else(F.col("_code"), F.col(quoted(column)), on_unmapped).alias(output)
+    taken = {c.lower() for c in df.columns}
+    category, code_name = (_free(n, taken) for n in ("_category", "_code"))
+    named = lookup.withColumnsRenamed({"category": category, "code": code_name})
+    code = _or_else(F.col(code_name), F.col(quoted(column)), on_unmapped).alias(output)
+    joined = df.join(named, F.col(quoted(column)) == F.col(category), "left")
     if output in df.columns:
         return joined.select(*[code if c == output else F.col(quoted(c)) for c in df.columns])
-    return joined.select(*map(quoted, names), code)
+    return joined.select(*map(quoted, df.columns), code)
+
+
+def _free(name: str, taken: set[str]) -> str:
+    while name in taken:
+        name = "_" + name
+    return name
+
+
+def _look_up_large(df: DataFrame, column: str, lookup: DataFrame, output: str, on_unmapped: str | int) -> DataFrame:
+    """A lookup too large to broadcast, without a hot key.
+
+    Categories that hold more than one row in ``HOT_SHARE`` are fewer than that, whatever the rows, and are
+    looked up from a broadcast; so are missing ones, which no lookup holds. The others meet the lookup
+    by key. Counting costs one pass over the column, combined before its shuffle.
+    """
+    key = F.col(quoted(column))
+    counts = materialize(df.filter(key.isNotNull()).groupBy(key.alias("category")).count(), "categories")
+    rows = counts.agg(F.sum("count")).first()[0] or 0
+    short = F.octet_length(F.col("category").cast("string")) <= LONGEST_NAME
+    hot = counts.filter((F.col("count") * HOT_SHARE > rows) & short).select("category")
+    hot_lookup = F.broadcast(hot.join(lookup, "category", "left"))
+    hot_key = _free("_hot", {c.lower() for c in df.columns})
+    marked = df.join(F.broadcast(hot.withColumnRenamed("category", hot_key)), key == F.col(hot_key), "left")
+    often = F.col(hot_key).isNotNull() | key.isNull()
+    few = _look_up(marked.filter(often).drop(hot_key), column, hot_lookup, output, on_unmapped)
+    # Without the hint a lookup that Spark takes for small would be broadcast after all.
+    many = _look_up(marked.filter(~often).drop(hot_key), column, lookup.hint("merge"), output, on_unmapped)
+    return few.unionByName(many)
 
 
 def _or_else(code: Column, category: Column, on_unmapped: str | int) -> Column:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gablework.functions.missing import is_missing, present, quoted
+from gablework.sources.scratch import materialize
 
 
 class IncompleteData(ValueError):
@@ -54,13 +56,37 @@ def null_counts(df: DataFrame, top: int = 5) -> DataFrame:
     )
 
 
+class CompletenessGate:
+    """Counts missing values of named columns while the rows flow to wherever they are used.
+
+    Use ``frame`` in place of the rows, and call ``check`` after the action that reads it; there is no pass of its own.
+    """
+
+    def __init__(self, df: DataFrame, columns: Sequence[str] | None = None):
+        self.columns = list(df.columns if columns is None else columns)
+        self._seen = Observation(f"complete-{uuid.uuid4().hex}")
+        holes = [F.count_if(is_missing(df, c)).alias(f"m{i}") for i, c in enumerate(self.columns)]
+        self.frame = df.observe(self._seen, *holes) if holes else df
+
+    def missing(self) -> dict[str, int]:
+        """Columns with missing values and how many; waits for the first action on ``frame``."""
+        seen = self._seen.get if self.columns else {}
+        return {c: seen[f"m{i}"] for i, c in enumerate(self.columns) if seen[f"m{i}"]}
+
+    def check(self) -> None:
+        if holes := self.missing():
+            raise IncompleteData(", ".join(f"{c}: {n}" for c, n in holes.items()))
+
+
 def require_complete(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Return ``df`` unchanged, or raise naming the columns with missing values."""
-    checked = df.select(*[quoted(c) for c in columns]) if columns else df
-    holes = _missing_by_column(checked).filter(F.col("n_missing") > 0).collect()
-    if holes:
-        raise IncompleteData(", ".join(f"{h['column_name']}: {h['n_missing']}" for h in holes))
-    return df
+    """The rows, written while they are counted, or an error that names all columns with missing values.
+
+    The input is read once; what is returned reads the written rows.
+    """
+    gate = CompletenessGate(df, columns)
+    written = materialize(gate.frame, "complete")
+    gate.check()
+    return written
 
 
 def sparse_columns(df: DataFrame, min_share: float = 0.8) -> list[str]:

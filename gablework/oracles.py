@@ -208,6 +208,10 @@ ORACLES: dict[str, str] = {
           SELECT p_brand, row_number() OVER (ORDER BY avg(p_retailprice), p_brand)::INTEGER AS brand_code
           FROM part GROUP BY p_brand)
         SELECT p_partkey, p_brand, p_retailprice, brand_code FROM part JOIN ranked USING (p_brand)""",
+    "complete_gate": f"""
+        SELECT doc_id, coalesce(lang, 'None') AS lang, coalesce(quality, 0) AS quality, coalesce(toxic, 0) AS toxic,
+               coalesce(grade, 'None') AS grade
+        FROM ({_DOCUMENTS})""",
     "csv_scan_readr": """
         WITH t AS (
           SELECT *, o_orderdate + to_seconds(o_orderkey % 86400) AS placed FROM orders)

@@ -16,64 +16,67 @@ from gablework.operators.combine import attach_target, stack
 from gablework.operators.encode import encode_mapping, fit_target_order
 from gablework.operators.impute import fill_along, fill_literal, fill_zero, fit_fills
 from gablework.operators.profile import require_complete, sparse_columns
-from gablework.operators.shape import conform_schema, derive, move_last, numeric_columns, total_of
+from gablework.operators.shape import conform_schema, derive, feature_columns, move_last, numeric_columns, total_of
 from gablework.plans.recipes import Inputs
 from gablework.sources.delimited import apply_types, infer_types, read_text
 from gablework.sources.scratch import materialize
 
 # ---- Fixed values: column roles of the house-sale files ----------------------------
-ZERO_MEANS_ABSENT = (
-    "MasVnrArea BsmtFinSF2 BsmtFullBath BsmtHalfBath BsmtUnfSF TotalBsmtSF BsmtFinSF1 GarageCars GarageArea"
-).split()
+ZERO_MEANS_ABSENT = [
+    "MasVnrArea", "BsmtFinSF2", "BsmtFullBath", "BsmtHalfBath", "BsmtUnfSF", "TotalBsmtSF", "BsmtFinSF1",
+    "GarageCars", "GarageArea",
+]
 MEAN_FILLED = ["LotFrontage"]
 MEDIAN_FILLED = ["GarageYrBlt"]
-CARRIED_FORWARD = (
-    "Electrical SaleType KitchenQual Exterior1st Exterior2nd Functional Utilities MSZoning"
-).split()
-AREAS = "TotalBsmtSF 1stFlrSF 2ndFlrSF GrLivArea GarageArea".split()
+CARRIED_FORWARD = [
+    "Electrical", "SaleType", "KitchenQual", "Exterior1st", "Exterior2nd", "Functional", "Utilities",
+    "MSZoning",
+]
+AREAS = ["TotalBsmtSF", "1stFlrSF", "2ndFlrSF", "GrLivArea", "GarageArea"]
 REPLACED = [*AREAS, "FullBath", "HalfBath", "YearRemodAdd", "YearBuilt"]
 
 # Neighborhoods from cheapest to dearest; the code is the place, starting at 1.
-NEIGHBORHOODS = (
-    "BrDale MeadowV BrkSide IDOTRR Blueste Edwards OldTown NPkVill SWISU Sawyer NAmes Mitchel Blmngtn "
-    "SawyerW NWAmes Gilbert CollgCr Somerst Crawfor ClearCr Veenker Timber NridgHt StoneBr NoRidge"
-).split()
+NEIGHBORHOODS = [
+    "BrDale", "MeadowV", "BrkSide", "IDOTRR", "Blueste", "Edwards", "OldTown", "NPkVill", "SWISU", "Sawyer",
+    "NAmes", "Mitchel", "Blmngtn", "SawyerW", "NWAmes", "Gilbert", "CollgCr", "Somerst", "Crawfor", "ClearCr",
+    "Veenker", "Timber", "NridgHt", "StoneBr", "NoRidge",
+]
 
 # Modelling table: name, type, source column.
-MODEL_COLUMNS = """
-TipoDeVienda int MSSubClass
-LongitudDeLaCalle float LotFrontage
-AreaDelTerreno int LotArea
-Barrio int Neighborhood
-CalidadDeLaVivienda int OverallQual
-CondicionesDeLaVivienda int OverallCond
-PiesCuadradosDeFachada float MasVnrArea
-PiesCuadradosDeSotanoTerminados float BsmtFinSF1
-PiesCuadradosDeSotano2Terminados float BsmtFinSF2
-PiesCuadradosDeSotanoNoTerminados float BsmtUnfSF
-PiesCuadradosDeBajaCalidad int LowQualFinSF
-BaniosEnterosEnSotano float BsmtFullBath
-BaniosPequeniosEnSotano float BsmtHalfBath
-DormitoriosSobreSuelo int BedroomAbvGr
-CocinasSobresSuelo int KitchenAbvGr
-habitacionesSobreSueloNoBanios int TotRmsAbvGrd
-Chimeneas int Fireplaces
-AnioDeConstruccionDelGaraje float GarageYrBlt
-CochesDelGaraje float GarageCars
-PiesCuadradosDeTerrazaDeMaderaSobreSuelo int WoodDeckSF
-PiesCuadradosDePorcheAbierto int OpenPorchSF
-PiesCuadradosDePorcheCerrado int EnclosedPorch
-PorcheThreeSeasson int 3SsnPorch
-PorcheAcristalado int ScreenPorch
-AreaDePiscina int PoolArea
-PrecioDeLosMiscelaneos int MiscVal
-MesDeVenta int MoSold
-AnioDeVenta int YrSold
-AreaHabitableTotal float TotalArea
-Banios float Bathrooms
-EdadMediaCasa float YearAverage
-PrecioDeLaVivenda float PrecioVenta
-"""
+MODEL_COLUMNS = [
+    ("TipoDeVienda", "int", "MSSubClass"),
+    ("LongitudDeLaCalle", "float", "LotFrontage"),
+    ("AreaDelTerreno", "int", "LotArea"),
+    ("Barrio", "int", "Neighborhood"),
+    ("CalidadDeLaVivienda", "int", "OverallQual"),
+    ("CondicionesDeLaVivienda", "int", "OverallCond"),
+    ("PiesCuadradosDeFachada", "float", "MasVnrArea"),
+    ("PiesCuadradosDeSotanoTerminados", "float", "BsmtFinSF1"),
+    ("PiesCuadradosDeSotano2Terminados", "float", "BsmtFinSF2"),
+    ("PiesCuadradosDeSotanoNoTerminados", "float", "BsmtUnfSF"),
+    ("PiesCuadradosDeBajaCalidad", "int", "LowQualFinSF"),
+    ("BaniosEnterosEnSotano", "float", "BsmtFullBath"),
+    ("BaniosPequeniosEnSotano", "float", "BsmtHalfBath"),
+    ("DormitoriosSobreSuelo", "int", "BedroomAbvGr"),
+    ("CocinasSobresSuelo", "int", "KitchenAbvGr"),
+    ("habitacionesSobreSueloNoBanios", "int", "TotRmsAbvGrd"),
+    ("Chimeneas", "int", "Fireplaces"),
+    ("AnioDeConstruccionDelGaraje", "float", "GarageYrBlt"),
+    ("CochesDelGaraje", "float", "GarageCars"),
+    ("PiesCuadradosDeTerrazaDeMaderaSobreSuelo", "int", "WoodDeckSF"),
+    ("PiesCuadradosDePorcheAbierto", "int", "OpenPorchSF"),
+    ("PiesCuadradosDePorcheCerrado", "int", "EnclosedPorch"),
+    ("PorcheThreeSeasson", "int", "3SsnPorch"),
+    ("PorcheAcristalado", "int", "ScreenPorch"),
+    ("AreaDePiscina", "int", "PoolArea"),
+    ("PrecioDeLosMiscelaneos", "int", "MiscVal"),
+    ("MesDeVenta", "int", "MoSold"),
+    ("AnioDeVenta", "int", "YrSold"),
+    ("AreaHabitableTotal", "float", "TotalArea"),
+    ("Banios", "float", "Bathrooms"),
+    ("EdadMediaCasa", "float", "YearAverage"),
+    ("PrecioDeLaVivenda", "float", "PrecioVenta"),
+]
 LABEL = "PrecioDeLaVivenda"
 DISCRETIZED = "PiesCuadradosDeFachada"
 # ------------------------------------------------------------------------------------
@@ -130,21 +133,20 @@ def encode_neighborhood(clean: DataFrame, learned: bool = False, fit_scope: str
 
 def model_schema(narrow: bool = False) -> tuple[StructType, dict[str, str]]:
     """The 32 non-null columns and where each comes from; ``narrow`` keeps 4-byte floats."""
-    lines = [line.split() for line in MODEL_COLUMNS.strip().splitlines()]
-    ddl = ", ".join(f"{n} {t if narrow or t != 'float' else 'double'} NOT NULL" for n, t, _ in lines)
-    return _parse_datatype_string(ddl), {name: source for name, _, source in lines}
+    ddl = ", ".join(f"{n} {t if narrow or t != 'float' else 'double'} NOT NULL" for n, t, _ in MODEL_COLUMNS)
+    return _parse_datatype_string(ddl), {name: source for name, _, source in MODEL_COLUMNS}
 
 
 def model_table(encoded: DataFrame, narrow: bool = False, check: bool = False) -> DataFrame:
     """The row key and the modelling columns, by name.
 
-    Nulls raise while rows flow; ``check`` counts them first, for a message that names
-    every offending column.
+    Nulls raise while rows flow; with ``check`` the rows are written and counted on the way, for a
+    message that names every offending column.
     """
     schema, sources = model_schema(narrow)
     numeric = encoded.select(*[f"`{c}`" for c in numeric_columns(encoded)])
     if check:
-        require_complete(numeric, list(sources.values()))
+        numeric = require_complete(numeric, list(sources.values()))
     key = StructType([numeric.schema[c] for c in KEY])
     return conform_schema(numeric, StructType([*key.fields, *schema.fields]), sources)
 
@@ -158,5 +160,4 @@ def prepare_houses(
 
 def house_inputs(table: DataFrame, **choices) -> Inputs:
     """Recipe inputs over the 31 features."""
-    columns = [c for c in table.columns if c not in (*KEY, LABEL)]
-    return Inputs(columns=columns, label=LABEL, discretize=DISCRETIZED, **choices)
+    return Inputs(columns=feature_columns(table, LABEL, KEY), label=LABEL, discretize=DISCRETIZED, **choices)

@@ -239,6 +239,14 @@ def null_counts_top5(spark: SparkSession, folder: str) -> DataFrame:
     return profile.null_counts(labelled_documents(spark, folder), 5)
 
 
+@query
+def complete_gate(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents with their gaps filled, through the gate that would name any column still with gaps."""
+    documents = labelled_documents(spark, folder).select(*LOOKBACK)
+    filled = impute.fill_literal(impute.fill_zero(documents, ["quality", "toxic"]))
+    return profile.require_complete(filled)
+
+
 @query
 def group_mean_sorted(spark: SparkSession, folder: str) -> DataFrame:
     means = profile.group_mean(table(spark, folder, "part"), "p_brand", "p_retailprice")

@@ -15,7 +15,7 @@ from gablework.plans import recipes as rc
 
 TEXT = [*hp.CARRIED_FORWARD, "Street", "Neighborhood"]
 NUMBERS = sorted(
-    {line.split()[2] for line in hp.MODEL_COLUMNS.strip().splitlines()}
+    {source for _, _, source in hp.MODEL_COLUMNS}
     - {"Neighborhood", "TotalArea", "Bathrooms", "YearAverage", "PrecioVenta"}
 ) + ["TotalBsmtSF", "GarageArea", "1stFlrSF", "2ndFlrSF", "GrLivArea", "FullBath", "HalfBath", "YearRemodAdd", "YearBuilt"]
 HOLES = set(hp.ZERO_MEANS_ABSENT + hp.MEAN_FILLED + hp.MEDIAN_FILLED + hp.CARRIED_FORWARD + ["Street"])

@@ -10,6 +10,7 @@ from gablework.operators.combine import DuplicateKeys, attach_target, stack
 from gablework.operators.encode import encode_mapping, fit_target_order
 from gablework.operators.histogram import histogram, round_classes
 from gablework.operators.profile import (
+    CompletenessGate,
     IncompleteData,
     group_mean,
     null_counts,
@@ -51,11 +52,27 @@ def test_null_counts_top(holes):
 
 
 def test_gate_names_the_columns(holes):
-    assert require_complete(holes, ["full"]) is holes
-    with pytest.raises(IncompleteData, match="edge: 2"):
+    assert sorted(map(str, require_complete(holes, ["full"]).collect())) == sorted(map(str, holes.collect()))
+    with pytest.raises(IncompleteData, match="edge: 2.*none: 10"):
         require_complete(holes)
 
 
+def test_gate_counts_while_rows_flow(holes, spark):
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    gate = CompletenessGate(holes.mapInArrow(counted, holes.schema))
+    assert gate.frame.collect() and reads.value == holes.count()
+    assert gate.missing() == {"edge": 2, "thin": 3, "none": 10, "nans": 1}
+    with pytest.raises(IncompleteData, match="thin: 3"):
+        gate.check()
+    assert reads.value == holes.count()
+
+
 def test_profile_is_one_aggregate(holes):
     plan = null_profile(holes)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 1
@@ -164,7 +181,34 @@ def test_broadcast_only_for_measured_small_lookups(priced, monkeypatch):
 
     assert "strategy=broadcast" in plan()
     monkeypatch.setattr(encode, "LONGEST_NAME", 0)
-    assert "strategy=broadcast" not in plan()
+    assert "strategy=merge" in plan()
+
+
+def test_a_hot_category_is_spread_over_the_tasks_of_a_large_lookup(spark):
+    hot = F.when(F.col("id") % 10 < 6, "c7").when(F.col("id") % 50 == 9, None)
+    df = spark.range(0, 100_000, 1, 8).select("id", hot.otherwise(F.concat(F.lit("c"), F.col("id"))).alias("k"))
+    lookup = spark.range(50_000).select(F.concat(F.lit("c"), F.col("id")).alias("category"), F.col("id").cast("int").alias("code"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    before = {n: spark.conf.get(n) for n in settings}
+    try:
+        for n, v in settings.items():
+            spark.conf.set(n, v)
+        found = encode._look_up_large(df, "k", lookup, "code", "null")
+        tasks = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+        assert max(tasks) <= 2 * sum(tasks) / len(tasks) and sum(tasks) == 100_000
+        wrong = found.filter("NOT (code <=> CASE WHEN int(substr(k, 2)) < 50000 THEN int(substr(k, 2)) END)")
+        assert wrong.count() == 0
+    finally:
+        for n, v in before.items():
+            spark.conf.set(n, v)
+
+
+def test_lookups_keep_columns_of_their_own_names(spark, monkeypatch):
+    df = spark.createDataFrame([("a", 1, 2, 3), ("b", 4, 5, 6)], "k string, _code int, _category int, _hot int")
+    for limit in (10, 0):
+        monkeypatch.setattr(encode, "BROADCAST_ROWS", limit)
+        rows = encode_mapping(df, "k", {"a": 10}, "c").orderBy("k").collect()
+        assert [tuple(r) for r in rows] == [("a", 1, 2, 3, 10), ("b", 4, 5, 6, None)]
 
 
 def test_unmapped_categories(spark):
