@@ -7,42 +7,14 @@ partitioned window; what crosses block borders is one small row per block.
 
 from __future__ import annotations
 
-import math
-import os
 from collections.abc import Sequence
-from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    DateType,
-    IntegralType,
-    NumericType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
 
 from gablework.functions.missing import quoted
 from gablework.sources.scratch import materialize
 
-ROWS_PER_TASK = 2_000_000
-LEAST_ROWS_PER_TASK = 10_000
-MAX_BLOCKS = 16_384
-_EXACT_DOUBLE = 2.0**53
-
-
-def shuffle_tasks(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-def tasks_for(spark: SparkSession, rows: int) -> int:
-    """The session's shuffle partitions, kept between sensible sizes of a task."""
-    wanted = min(shuffle_tasks(spark), math.ceil(rows / LEAST_ROWS_PER_TASK))
-    return max(1, wanted, math.ceil(rows / ROWS_PER_TASK))
-
 
 def range_blocks(df: DataFrame, order_by: Sequence[str], name: str, partitions: int | None = None) -> DataFrame:
     """The rows, written out with the number of the key range they fall into.
@@ -58,110 +30,10 @@ def range_blocks(df: DataFrame, order_by: Sequence[str], name: str, partitions:
     return materialize(dealt.withColumn(name, F.spark_partition_id()), "ranges")
 
 
-@dataclass(frozen=True)
-class OrderBlocks:
-    position: Column
-    edges: tuple[float, ...]
-    null_keys: bool = True  # whether the leading sort key may be null
-
-    def label(self, df: DataFrame, name: str) -> DataFrame:
-        """Add the block number of every row; equal positions share a block."""
-        if not self.edges:
-            return df.withColumn(name, F.lit(0))
-        spot = name + "_position"
-        return (
-            Bucketizer(
-                splits=[-math.inf, *self.edges, math.inf], inputCol=spot, outputCol=name, handleInvalid="keep"
-            )
-            .transform(df.withColumn(spot, self.position))
-            .drop(spot)
-            .withColumn(name, F.col(name).cast("int"))
-        )
-
-
-def fit_order_blocks(df: DataFrame, order_by: Sequence[str], n_blocks: int | None = None) -> OrderBlocks:
-    """Choose block edges along ascending ``order_by`` (nulls first).
-
-    Two pruned passes: row count and key ranges, then quantiles of the position.
-    """
-    ends = [F.count(F.lit(1)).alias("rows"), F.count(quoted(order_by[0])).alias("keyed")]
-    for i, name in enumerate(order_by):
-        key = _whole(df, name) if _is_whole(df, name) else F.col(quoted(name))
-        ends += [F.min(key).alias(f"low{i}"), F.max(key).alias(f"high{i}")]
-    ranges = df.agg(*ends).first()
-    position = _position(df, order_by, ranges.asDict())
-    null_keys = ranges["keyed"] < ranges["rows"]
-    if n_blocks is None:
-        # Blocks are hashed to tasks; several per task even out how many each gets.
-        n_blocks = 4 * tasks_for(df.sparkSession, ranges["rows"])
-    n_blocks = max(1, min(n_blocks, MAX_BLOCKS, ranges["rows"]))
-    if n_blocks == 1:
-        return OrderBlocks(position, (), null_keys)
-    shares = [i / n_blocks for i in range(1, n_blocks)]
-    cuts = df.select(position.alias("position")).approxQuantile("position", shares, 1 / (4 * n_blocks))
-    edges = sorted({cut for cut in cuts if math.isfinite(cut)})
-    return OrderBlocks(position, tuple(edges), null_keys)
-
-
-def _is_whole(df: DataFrame, name: str) -> bool:
-    return isinstance(df.schema[name].dataType, (IntegralType, DateType, TimestampType, TimestampNTZType, BooleanType))
-
-
-def _whole(df: DataFrame, name: str) -> Column:
-    column, dtype = F.col(quoted(name)), df.schema[name].dataType
-    if isinstance(dtype, DateType):
-        return F.unix_date(column).cast("long")
-    if isinstance(dtype, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(column.cast("timestamp"))
-    return column.cast("long")
-
-
-def _position(df: DataFrame, order_by: Sequence[str], ranges: dict) -> Column:
-    """One double that never decreases along the sort order.
-
-    Whole-number keys are combined most significant first, so a leading key with few
-    values (a source rank, say) still yields many blocks. A key is appended while the
-    keys before it are exact in a double, and each is shifted by a power of two, which
-    a double multiplies without rounding; so rounding can only merge neighbours.
-    """
-    head = order_by[0]
-    dtype = df.schema[head].dataType
-    if isinstance(dtype, StringType):
-        # Six bytes after what all values share, read as one whole number.
-        start = _shared_bytes(ranges["low0"] or "", ranges["high0"] or "") + 1
-        lead = F.rpad(F.hex(F.substring(F.encode(F.col(quoted(head)), "UTF-8"), start, 6)), 12, "0")
-        return F.coalesce(F.conv(lead, 16, 10).cast("double"), F.lit(-math.inf))
-    if not _is_whole(df, head):
-        if not isinstance(dtype, NumericType):
-            raise TypeError(f"cannot order rows by {head}: {dtype.simpleString()}")
-        return F.coalesce(F.col(quoted(head)).cast("double"), F.lit(-math.inf))
-    position, span = None, 1.0
-    for i, name in enumerate(order_by):
-        if not _is_whole(df, name) or ranges[f"low{i}"] is None:
-            break
-        low, high = ranges[f"low{i}"], ranges[f"high{i}"]
-        width = 2.0 ** math.ceil(math.log2(high - low + 2))  # one extra slot below for nulls
-        if width >= 2.0**62:
-            break
-        offset = F.coalesce((_whole(df, name) - F.lit(low) + F.lit(1)).cast("double"), F.lit(0.0))
-        position = offset if position is None else position * F.lit(width) + offset
-        span *= width
-        if span > _EXACT_DOUBLE:
-            break
-    if position is None:
-        return F.coalesce(_whole(df, head).cast("double"), F.lit(-math.inf))
-    return position
-
-
-def _shared_bytes(low: str, high: str) -> int:
-    """Length of the common start of the least and greatest value, so of all values."""
-    return len(os.path.commonprefix([low.encode(), high.encode()]))
-
-
-def number_rows(df: DataFrame, order_by: Sequence[str], name: str, blocks: OrderBlocks | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order_by: Sequence[str], name: str) -> DataFrame:
     """1-based row number along ``order_by`` without a one-task sort of the rows."""
     block = name + "_block"
-    labelled = blocks.label(df, block) if blocks else range_blocks(df, order_by, block)
+    labelled = range_blocks(df, order_by, block)
     before = Window.orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         labelled.groupBy(block)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, IntegralType, LongType
 
 from gablework.functions.missing import present, quoted
-from gablework.functions.ordering import OrderBlocks, range_blocks
+from gablework.functions.ordering import range_blocks
 from gablework.functions.quantiles import exact_quantiles
 from gablework.operators.shape import string_columns
 
@@ -95,7 +95,6 @@ def fill_along(
     columns: Sequence[str],
     order_by: Sequence[str],
     direction: str = "forward",
-    blocks: OrderBlocks | None = None,
 ) -> DataFrame:
     """Carry the last seen value along ascending ``order_by`` into missing ones.
 
@@ -108,7 +107,7 @@ def fill_along(
     if direction not in ("forward", "backward"):
         raise ValueError(f"direction: {direction}")
     forward = direction == "forward"
-    labelled = blocks.label(df, "_block") if blocks else range_blocks(df, order_by, "_block")
+    labelled = range_blocks(df, order_by, "_block")
     # Backward is forward over the mirrored order: a frame that grows keeps its last value,
     # one that shrinks would be searched anew for every row.
     columns_by = [F.col(quoted(c)) for c in order_by]
@@ -116,9 +115,7 @@ def fill_along(
     nearest = F.max_by if forward else F.min_by
     within = Window.partitionBy("_block").orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    # A lone key lets numeric columns aggregate by hash; a struct also orders null keys.
-    lone = len(order_by) == 1 and blocks is not None and not blocks.null_keys
-    order = F.col(quoted(order_by[0])) if lone else F.struct(*[F.col(quoted(c)) for c in order_by])
+    order = F.struct(*[F.col(quoted(c)) for c in order_by])  # a struct also orders null keys
     ends = labelled.groupBy("_block").agg(
         *[
             nearest(present(df, c), F.when(present(df, c).isNotNull(), order)).alias(f"_end{i}")

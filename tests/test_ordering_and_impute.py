@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from gablework.functions.ordering import fit_order_blocks, number_rows, range_blocks
+from gablework.functions.ordering import number_rows, range_blocks
 from gablework.operators.impute import StatisticFills, fill_along, fill_literal, fill_zero, fit_fills
 
 
@@ -49,27 +49,26 @@ def gaps(spark):
 @pytest.mark.parametrize("order_by", [["id"], ["source_rank", "id"], ["name"], ["day"], ["score"], ["day", "id"]])
 @pytest.mark.parametrize("direction", ["forward", "backward"])
 def test_block_fill_equals_plain_window(gaps, order_by, direction):
-    blocks = fit_order_blocks(gaps, order_by, 13)
-    found = fill_along(gaps, ["text", "number"], order_by, direction, blocks)
+    found = fill_along(gaps, ["text", "number"], order_by, direction)
     assert same_rows(found, plain_window(gaps, ["text", "number"], order_by, direction == "forward"))
 
 
 @pytest.mark.parametrize("order_by", [["id"], ["source_rank", "id"], ["name"], ["day"]])
 def test_blocks_are_even_whatever_the_key(gaps, order_by):
-    sizes = fit_order_blocks(gaps, order_by, 10).label(gaps, "block").groupBy("block").count().collect()
+    sizes = range_blocks(gaps, order_by, "block", 10).groupBy("block").count().collect()
     assert len(sizes) == 10
     assert max(r["count"] for r in sizes) < 200
 
 
 def test_leading_nulls_stay_null(spark):
     df = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, None)], "id int, v string")
-    rows = fill_along(df, ["v"], ["id"], blocks=fit_order_blocks(df, ["id"], 4)).orderBy("id").collect()
+    rows = fill_along(df, ["v"], ["id"]).orderBy("id").collect()
     assert [r["v"] for r in rows] == [None, None, "a", "a"]
 
 
 def test_null_order_keys_come_first(spark):
     df = spark.createDataFrame([(None, "z"), (5, None), (6, "b"), (7, None)], "id int, v string")
-    rows = fill_along(df, ["v"], ["id"], blocks=fit_order_blocks(df, ["id"], 3)).collect()
+    rows = fill_along(df, ["v"], ["id"]).collect()
     assert {r["id"]: r["v"] for r in rows} == {None: "z", 5: "z", 6: "b", 7: "b"}
 
 
@@ -79,8 +78,7 @@ def test_wide_keys_do_not_overflow(spark):
 
 
 def test_row_numbers_match_plain_window(gaps):
-    blocks = fit_order_blocks(gaps, ["source_rank", "id"], 9)
-    found = number_rows(gaps, ["source_rank", "id"], "n", blocks)
+    found = number_rows(gaps, ["source_rank", "id"], "n")
     plain = gaps.withColumn("n", F.row_number().over(Window.orderBy("source_rank", "id")))
     assert same_rows(found.select("id", "n"), plain.select("id", "n"))
 
