@@ -49,7 +49,7 @@ def places(form: Column, pattern: Column | str) -> Column:
     so that one pass suffices; blanks in the stretches count words.
     """
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
-    stepped = F.concat(F.lit("\\G(.*?(?= ))( (?:"), pattern, F.lit(")(?= ))"))
+    stepped = F.concat(F.lit("(?s)\\G(.*?(?= ))( (?:"), pattern, F.lit(")(?= ))"))
 
     def blanks(x: Column) -> Column:
         return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))

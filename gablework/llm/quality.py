@@ -56,7 +56,7 @@ def characters_of(text: Column, pattern: str) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    trimmed = F.regexp_replace(text, f"^{BLANK}+|{BLANK}+$", "")
+    trimmed = F.regexp_replace(text, f"^{BLANK}+|{BLANK}+\\z", "")
     return F.when(trimmed != "", F.split(trimmed, f"{BLANK}+", -1)).otherwise(F.array().cast("array<string>"))
 
 

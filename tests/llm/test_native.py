@@ -32,7 +32,7 @@ def judged(df):
 
 def test_quality_counts(odd, shipped, tables):
     rng = random.Random(1)
-    made = [(i, " ".join(rng.choice(["a", "b", "c d", "#", "x\n", "\t"]) for _ in range(rng.randint(0, 60))), "") for i in range(200)]
+    made = [(i, " ".join(rng.choice(["a", "b", "c d", "#", "x\n", "\t", "\x85", "\u2028", "\u2029"]) for _ in range(rng.randint(0, 60))), "") for i in range(200)]
     docs = shipped.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text", F.lit("x").alias("k1"))
     for frame in (odd, shipped.createDataFrame(made, odd.schema), docs):
         for r in judged(quality.assess(frame)):
@@ -73,7 +73,7 @@ def base_places(text):
 
 def test_license_base_places(odd, shipped, empty):
     rng = random.Random(2)
-    parts = ["CC-BY", "cc", "by", "General Public", "License", "license\n", "ALL  RIGHTS reserved", "all", "rights", "é", "ccé by", "x", ";", "GPL"]
+    parts = ["CC-BY", "cc", "by", "General Public", "License", "license\n", "ALL  RIGHTS reserved", "all", "rights", "é", "ccé by", "x", ";", "GPL", "\x85", "a\u2028b", "\u2029"]
     made = [(i, " ".join(rng.choice(parts) for _ in range(rng.randint(0, 25))), "") for i in range(300)]
     for frame in (odd, shipped.createDataFrame(made, odd.schema)):
         for r in licenses.scan(frame).select("text", "licenses.*").collect():
