@@ -169,17 +169,18 @@ def _fits(value: Column, dialect: Dialect) -> dict[str, Column]:
     """Whether a value is of each kind."""
     real = value.rlike(_REAL)
     kinds = {
-        "truth": value.rlike(_TRUTH_LETTER if dialect.dates else _TRUTH),
+        "truth": (F.length(value) <= 5) & value.rlike(_TRUTH_LETTER if dialect.dates else _TRUTH),
         "whole": value.rlike(_WHOLE) & value.try_cast("long").isNotNull(),
         "real": real,
     }
     if dialect.grouped_numbers:
         kinds["grouped"] = real | value.rlike(GROUPED_NUMBER)
     if dialect.dates:
-        day = value.rlike(_DATE) & _as_date(value).isNotNull()
-        kinds["time"] = _seconds(value).isNotNull()
+        # Cheap tests come first, so that few values meet the patterns.
+        day = F.length(value).between(8, 10) & value.rlike(_DATE) & _as_date(value).isNotNull()
+        kinds["time"] = value.contains(":") & _seconds(value).isNotNull()
         kinds["date"] = day
-        kinds["datetime"] = day | (value.rlike(_DATETIME) & _as_moment(value).isNotNull())
+        kinds["datetime"] = day | (value.contains(":") & value.rlike(_DATETIME) & _as_moment(value).isNotNull())
     return kinds
 
 
@@ -195,12 +196,14 @@ def _as_moment(text: Column) -> Column:
 
 def _seconds(text: Column) -> Column:
     """Seconds since midnight of a time on a 24-hour or, with am or pm, a 12-hour clock."""
-    hour, minute, second = (F.regexp_extract(text, _TIME, i).try_cast("double") for i in (1, 2, 3))
+    # A cast of empty text to double is an exception inside, and slow.
+    parts = [F.regexp_extract(text, _TIME, i) for i in (1, 2, 3)]
+    hour, minute, second = (F.when(part != "", part).try_cast("double") for part in parts)
     half = F.lower(F.regexp_extract(text, _TIME, 4))
     known = F.when(half == "", hour).when(hour.between(1, 12), hour % 12 + F.when(half == "p", 12).otherwise(0))
     second = F.coalesce(second, F.lit(0.0))
-    valid = text.rlike(_TIME) & (known < 24) & (minute < 60) & (second < 60)
-    return F.when(valid, known * 3600 + minute * 60 + second)
+    clock = F.when((known < 24) & (minute < 60) & (second < 60), known * 3600 + minute * 60 + second)
+    return F.when(text.rlike(_TIME), clock)
 
 
 def infer_types(text: DataFrame, dialect: Dialect = PANDAS) -> StructType:
