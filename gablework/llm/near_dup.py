@@ -46,6 +46,7 @@ class NearDup:
     slots: int = 1 << 16  # document frequencies
     full: int = 8  # members of a group up to which all its pairs are compared
     shingle_slots: int = 1 << 20  # how common shingles are; sets only the order in which they are joined
+    share: int = 2000  # pairs of one text that a task takes; more are dealt over tasks
     # Samples must agree at least this much to be verified: over five standard deviations below the threshold.
     least_agreement: float = 0.5
 
@@ -271,8 +272,9 @@ def _prefixes(texts: DataFrame, sampler: Sampler, counts: np.ndarray) -> DataFra
 def _apart(members: DataFrame, texts: DataFrame, links: DataFrame, sampler: Sampler) -> DataFrame:
     """All pairs ``(a, b)`` of members that may reach the threshold and that no links connect.
 
-    Shingles whose texts are all connected go first. Of the others, only components are paired, then their
-    members, so the rows made are the pairs that are asked for.
+    Shingles whose texts are all connected go first. Of the others, components are paired by the bounds of their
+    members, then members with components that may hold a partner, then members, so the rows made are the
+    pairs that are asked for.
     """
     roots = components(links).select(F.col("node.k1").alias("k1"), F.col("node.k2").alias("k2"), "root")
     known = members.join(roots, ["k1", "k2"], "left").withColumn("root", F.coalesce("root", F.struct("k1", "k2")))
@@ -280,16 +282,61 @@ def _apart(members: DataFrame, texts: DataFrame, links: DataFrame, sampler: Samp
     prefixes = materialize(_prefixes(chosen, sampler, _shingle_counts(chosen, sampler)), "prefixes")
     split_ = prefixes.groupBy("hash").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("lead").alias("lead"))
     rows = materialize(prefixes.join(split_.filter("lead and low <> high").select("hash"), "hash"), "open")
-    leads = rows.filter("lead").select("hash", F.col("root").alias("ra"), F.struct("k1", "k2").alias("a"), F.col("rest").alias("xa"), F.col("weight").alias("wa"))
-    others = rows.select("hash", F.col("root").alias("rb"), F.struct("k1", "k2").alias("b"), F.col("rest").alias("xb"), F.col("weight").alias("wb"))
-    meeting = leads.select("hash", "ra").distinct().join(others.select("hash", "rb").distinct(), "hash").filter("ra <> rb")
-    t = sampler.rules.similarity - 1e-4
-    pairs = meeting.join(leads, ["hash", "ra"]).join(others, ["hash", "rb"]).filter(
-        F.least("xa", "xb") >= F.lit(t / (1 + t)) * (F.col("wa") + F.col("wb"))
+    c = (sampler.rules.similarity - 1e-4) / (1 + sampler.rules.similarity - 1e-4)
+    # A pair needs rest >= c (wa + wb) on both sides, so slack >= c times the other's weight; a is the lighter text.
+    open_ = rows.withColumn("slack", F.col("rest") - F.lit(c) * F.col("weight"))
+    ends = open_.groupBy("hash", "root").agg(
+        F.max("slack").alias("head"),
+        F.min("weight").alias("light"),
+        F.max("weight").alias("heavy"),
+        F.max(F.when(F.col("lead"), F.col("slack"))).alias("lead_head"),
+        F.min(F.when(F.col("lead"), F.col("weight"))).alias("lead_light"),
+    )
+    one = ends.filter("lead_light is not null").select("hash", F.col("root").alias("ra"), "lead_head", "lead_light")
+    two = ends.select("hash", F.col("root").alias("rb"), "head", "light", "heavy")
+    meeting = one.join(two, "hash").filter(
+        (F.col("ra") != F.col("rb"))
+        & (F.col("lead_light") <= F.col("heavy"))
+        & (F.col("lead_head") >= F.lit(c) * F.greatest("light", "lead_light"))
+        & (F.col("head") >= F.lit(c) * F.col("lead_light"))
+    )
+    leads = open_.filter("lead").select("hash", F.col("root").alias("ra"), F.struct("k1", "k2").alias("a"), F.col("slack").alias("xa"), F.col("weight").alias("wa"))
+    others = open_.select("hash", F.col("root").alias("rb"), F.struct("k1", "k2").alias("b"), F.col("slack").alias("xb"), F.col("weight").alias("wb"))
+    reached = meeting.select("hash", "ra", "rb", "head", "light", "heavy").join(leads, ["hash", "ra"]).filter(
+        (F.col("wa") <= F.col("heavy")) & (F.col("xa") >= F.lit(c) * F.greatest("light", "wa")) & (F.col("head") >= F.lit(c) * F.col("wa"))
+    )
+    pairs = reached.select("hash", "rb", "a", "xa", "wa").join(others, ["hash", "rb"]).filter(
+        (F.col("wa") <= F.col("wb")) & (F.col("xa") >= F.lit(c) * F.col("wb")) & (F.col("xb") >= F.lit(c) * F.col("wa"))
     )
     return pairs.select(*_ordered(F.col("a"), F.col("b"))).distinct()
 
 
+def _hot(pairs: DataFrame, on: list[str], rules: NearDup) -> DataFrame | None:
+    """Texts with many of the (written) pairs at one end, and over how many ``parts`` to deal them; none: None.
+
+    Each holds a thousandth of the pairs or more, so there are 1,000 at most, with 2,000 parts in all, whatever the input.
+    """
+    share = max(rules.share, pairs.count() // 1000)
+    counts = pairs.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > share)
+    many = materialize(counts.select(*on, F.ceil(F.col("n") / share).cast("int").alias("parts")), "hot")
+    return None if many.isEmpty() else F.broadcast(many)
+
+
+def _beside(pairs: DataFrame, rows: DataFrame, on: list[str], other: list[str], many: DataFrame | None) -> DataFrame:
+    """``pairs`` joined to the rows of their texts ``on`` one end.
+
+    The row of a text with many pairs, such as the representative of a large group, is copied, and its pairs are dealt
+    over the copies by their ``other`` end. All other rows are joined where they are.
+    """
+    if many is None:
+        return pairs.join(rows, on)
+    cold = pairs.join(many, on, "left_anti").join(rows, on)
+    part = F.pmod(F.xxhash64(*other), F.col("parts")).cast("int").alias("part")
+    hot = pairs.join(many, on).select(*pairs.columns, part)
+    copies = rows.join(many, on).select(*rows.columns, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    return cold.unionByName(hot.join(copies, [*on, "part"]).drop("part"))
+
+
 def _agreeing(pairs: DataFrame, signatures: DataFrame, rules: NearDup) -> DataFrame:
     """Pairs whose samples do not rule out the threshold."""
     samples = signatures.select(F.struct("k1", "k2").alias("node"), "samples")
@@ -298,12 +345,14 @@ def _agreeing(pairs: DataFrame, signatures: DataFrame, rules: NearDup) -> DataFr
     equal = F.aggregate(
         F.zip_with("sa", "sb", lambda x, y: F.when(x == y, F.lit(1)).otherwise(F.lit(0))), F.lit(0), lambda s, x: s + x
     )
-    joined = pairs.join(one, "a").join(two, "b")
+    pairs = materialize(pairs, "candidates")
+    joined = _beside(pairs, one, ["a"], ["b"], _hot(pairs, ["a"], rules))
+    joined = _beside(joined, two, ["b"], ["a"], _hot(pairs, ["b"], rules))
     return joined.filter(equal >= F.lit(int(rules.samples * rules.least_agreement))).select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, sampler: Sampler) -> DataFrame:
-    """Pairs with at least the similarity asked for, by the whole texts."""
+    """Written pairs with at least the similarity asked for, by the whole texts."""
     rules = sampler.rules
     fields = "a1 bigint, a2 bigint, b1 bigint, b2 bigint, similarity double"
 
@@ -322,7 +371,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, sampler: Sampler) -> DataFrame
     flat = pairs.select(F.col("a.k1").alias("a1"), F.col("a.k2").alias("a2"), F.col("b.k1").alias("b1"), F.col("b.k2").alias("b2"))
     one = texts.select(F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("text").alias("ta"))
     two = texts.select(F.col("k1").alias("b1"), F.col("k2").alias("b2"), F.col("text").alias("tb"))
-    both = flat.join(one, ["a1", "a2"]).join(two, ["b1", "b2"])
+    left, right = ["a1", "a2"], ["b1", "b2"]
+    both = _beside(flat, one, left, right, _hot(flat, left, rules))
+    both = _beside(both, two, right, left, _hot(flat, right, rules)).select(*left, *right, "ta", "tb")
     scored = both.mapInArrow(run, fields).filter(F.col("similarity") >= F.lit(rules.similarity) - F.lit(1e-6))
     return scored.select(F.struct(F.col("a1").alias("k1"), F.col("a2").alias("k2")).alias("a"), F.struct(F.col("b1").alias("k1"), F.col("b2").alias("k2")).alias("b"), "similarity")
 
@@ -359,14 +410,11 @@ def assign(docs: DataFrame, rules: NearDup = NearDup(), key: str = "doc_id", tex
 def keep_one(docs: DataFrame, rules: NearDup = NearDup(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each class, that with the least key; the columns of the input."""
     found = materialize(classes(docs, rules, key, text), "classes")
-    k1, k2 = text_key(F.col(f"`{text}`"))
-    rows = docs.withColumns({"_k1": k1, "_k2": k2})
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")  # whatever their names
+    rows = docs.select(*text_key(F.col(f"`{text}`")), F.col(f"`{key}`").alias("id"), columns)
     # The text that holds the least key speaks for its class; of texts with equal keys, the least.
-    spoken = rows.select(F.col(f"`{key}`").alias("_id"), "_k1", "_k2").join(
-        found.select(F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "root", "class_id"), ["_k1", "_k2"]
-    )
-    chosen = spoken.filter(F.col("_id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min(F.struct("_k1", "_k2", "_id")).alias("row"))
-    wanted = chosen.select("row.*").withColumnRenamed("_id", "_wanted")
-    same = (rows["_k1"] == wanted["_k1"]) & (rows["_k2"] == wanted["_k2"]) & rows[f"`{key}`"].eqNullSafe(wanted["_wanted"])
-    kept = rows.join(wanted, same, "left_semi")
-    return kept.dropDuplicates(["_k1", "_k2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    spoken = rows.select("id", "k1", "k2").join(found.select("k1", "k2", "root", "class_id"), ["k1", "k2"])
+    chosen = spoken.filter(F.col("id").eqNullSafe(F.col("class_id"))).groupBy("root").agg(F.min(F.struct("k1", "k2", "id")).alias("best"))
+    wanted = chosen.select(F.col("best.k1").alias("w1"), F.col("best.k2").alias("w2"), F.col("best.id").alias("wanted"))
+    same = (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")) & F.col("id").eqNullSafe(F.col("wanted"))
+    return rows.join(wanted, same, "left_semi").dropDuplicates(["k1", "k2"]).select("row.*")

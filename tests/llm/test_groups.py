@@ -112,6 +112,19 @@ def test_pairs_inside_a_large_boilerplate_group(shipped, odd):
     assert {r.doc_id: r.class_id for r in near_dup.assign(frame).collect()} == {k: k - k % 2 for k, _ in docs}
 
 
+def test_hot_representatives_are_dealt(shipped, odd):
+    rules = near_dup.NearDup(share=3)
+    docs = made_documents()
+    frame = shipped.createDataFrame([(*d, "") for d in docs], odd.schema).repartition(5)
+    assert {r.doc_id: r.class_id for r in near_dup.assign(frame, rules).collect()} == brute_classes(docs)
+
+
+def test_kept_rows_pass_all_columns(shipped):
+    names = ["doc_id", "text", "k1", "_k1", "id", "row", "root", "wanted", "class_id", "a.b"]
+    frame = shipped.createDataFrame([(i, f"text {i % 3} of some more words", *names[2:]) for i in range(9)], names)
+    assert sorted(map(tuple, near_dup.keep_one(frame).collect())) == sorted(map(tuple, frame.filter("doc_id < 3").collect()))
+
+
 def test_near_duplicates_odd_rows(odd, empty):
     got = near_dup.assign(odd)
     assert got.count() == odd.count()
