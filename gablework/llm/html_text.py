@@ -52,6 +52,8 @@ FURNITURE_NAMES = frozenset(
     "disqus reply replies respond related recommended share sharing social newsletter subscribe subscription signup login search widget pagination pager "
     "copyright disclaimer skip complementary contentinfo form".split()
 )
+# Name parts that tell of a page's state, as in has-sidebar or no-comments, not of the element.
+STATES = frozenset("has no with without not hide hides show shows".split())
 CONTENT_TAGS = frozenset({"article", "main"})
 CONTENT_NAMES = frozenset({"main", "article", "articlebody"})
 
@@ -61,6 +63,7 @@ class Block:
     path: tuple[str, ...]
     furniture: bool
     content: bool
+    form: bool = False  # in a form, but for that not furniture; a form below a content element is furniture
     pieces: list[str] = field(default_factory=list)
     linked: int = 0
 
@@ -73,6 +76,7 @@ class TagPathRules:
     smooth: int = 1  # blocks to either side
     threshold: float = 0.35  # share of the best path's score
     most_linked: float = 0.6
+    wrapping: float = 0.75  # share of a page's text above which a form is its wrapper
 
 
 def read_blocks(page: str) -> list[Block]:
@@ -90,7 +94,13 @@ def read_blocks(page: str) -> list[Block]:
             if not text or text.isspace():
                 return
             path = tuple(x[1] for x in stack if x[0] not in INLINE)
-            current = Block(path, any(x[2] for x in stack), any(x[3] for x in stack))
+            forms = [i for i, x in enumerate(stack) if x[0] == "form"]
+            content = any(x[3] for x in stack)
+            # A page may be wrapped in one form: a content element inside it speaks louder.
+            wrapped = bool(forms) and any(x[3] for x in stack[forms[-1] + 1 :])
+            current = Block(path, any(x[2] for x in stack), content, bool(forms) and not wrapped)
+            if current.form and content:
+                current.furniture = True
             blocks.append(current)
         current.pieces.append(text)
         if links:
@@ -148,7 +158,7 @@ def read_blocks(page: str) -> list[Block]:
 
 def _evidence(tag: str, attributes: str) -> tuple[str, bool, bool]:
     """Step of the path, and whether the element speaks for furniture or for content."""
-    furniture, content, step = tag in FURNITURE_TAGS, tag in CONTENT_TAGS, tag
+    furniture, content, step = tag in FURNITURE_TAGS and tag != "form", tag in CONTENT_TAGS, tag
     if attributes and "=" in attributes or "hidden" in attributes:
         for found in NAMES.finditer(attributes):
             name = found[1].lower()
@@ -156,7 +166,8 @@ def _evidence(tag: str, attributes: str) -> tuple[str, bool, bool]:
             if name in ("hidden", "aria-hidden"):
                 furniture |= value != "false"
                 continue
-            words = set(WORDS.findall(value))
+            parts = [WORDS.findall(x) for x in value.split()]
+            words = {w for x in parts if len(x) < 2 or x[0] not in STATES for w in x}
             furniture |= bool(words & FURNITURE_NAMES) and tag not in ("html", "body")
             content |= bool(words & CONTENT_NAMES)
             if name == "class" and value:
@@ -167,6 +178,9 @@ def _evidence(tag: str, attributes: str) -> tuple[str, bool, bool]:
 def main_text(page: str, rules: TagPathRules = TagPathRules()) -> str:
     blocks = [(b, t) for b in read_blocks(page) if (t := b.text())]
     open_ = [(b, t) for b, t in blocks if not b.furniture]
+    size = {form: sum(len(t) - min(b.linked, len(t)) for b, t in open_ if b.form == form) for form in (False, True)}
+    if size[True] <= rules.wrapping * (size[False] + size[True]):
+        open_ = [(b, t) for b, t in open_ if not b.form]  # a form for readers, not one around the page
     if any(b.content for b, _ in open_):
         open_ = [(b, t) for b, t in open_ if b.content]
     if not open_:
@@ -186,13 +200,24 @@ def main_text(page: str, rules: TagPathRules = TagPathRules()) -> str:
         value = max(s if _heading(b.path) else (s * own) ** 0.5, float("inf") if b.content else 0.0)
         fused[b.path] = max(fused.get(b.path, 0.0), value)
     best = max((v for v in fused.values() if v != float("inf")), default=0.0)
-    kept = []
-    for b, t in open_:
+    kept, menu = [], []
+    for b, _ in open_:
         _, size, _, linked = totals[b.path]
-        menu = linked > rules.most_linked * size and not _heading(b.path) and b.path[-1:] != ("p",)
-        if not menu and fused[b.path] >= rules.threshold * best and fused[b.path] > 0:
-            kept.append(t)
-    return " ".join(kept)
+        menu.append(linked > rules.most_linked * size and not _heading(b.path) and b.path[-1:] != ("p",))
+        kept.append(not menu[-1] and fused[b.path] >= rules.threshold * best and fused[b.path] > 0)
+    return " ".join(t for (_, t), k in zip(open_, _bridged([b.path for b, _ in open_], kept, menu)) if k)
+
+
+def _bridged(paths: list[tuple[str, ...]], kept: list[bool], menu: list[bool]) -> list[bool]:
+    """Short blocks, such as list items, cells and quotes, stay between kept ones of the parent they stand below."""
+    out = list(kept)
+    at = [i for i, k in enumerate(kept) if k]
+    for before, after in zip(at, at[1:]):
+        parent = paths[before][:-1]
+        if parent and paths[after][:-1] == parent:
+            for i in range(before + 1, after):
+                out[i] = not menu[i] and paths[i][: len(parent)] == parent
+    return out
 
 
 def _heading(path: tuple[str, ...]) -> bool:
