@@ -19,6 +19,7 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator, Sequence
 from math import isqrt
 
@@ -109,10 +110,17 @@ def luhn_digit(payload: str) -> str:
 
 def card(p: Permutation, text: str) -> str | None:
     digits = _digits(text)
-    if not 13 <= len(digits) <= 19 or digits[0] not in "3456" or luhn_digit(digits[:-1]) != digits[-1]:
+    if not 13 <= len(digits) <= 19 or digits[0] not in "23456" or luhn_digit(digits[:-1]) != digits[-1]:
         return None
     inner = digits[1:-1]
-    moved = p.permute(int(inner), 10 ** len(inner), f"card|{digits[0]}|{len(digits)}")
+    unit = 10 ** (len(inner) - 3)
+
+    def issued(x: int) -> bool:  # cards that begin with 2 begin with 2221 to 2720
+        return digits[0] != "2" or 221 <= x // unit <= 720
+
+    if not issued(int(inner)):
+        return None
+    moved = p.permute(int(inner), 10 ** len(inner), f"card|{digits[0]}|{len(digits)}", issued)
     payload = digits[0] + str(moved).zfill(len(inner))
     return _fill(text, payload + luhn_digit(payload))
 
@@ -202,9 +210,9 @@ def secret(p: Permutation, text: str) -> str | None:
     return head + permute_letters(p, body, f"secret|{head}", plain[:1] or CLASSES)
 
 
-# Where to look, per kind; group 1 is the value where there is one.
+# Where to look, per kind; group 1 is the value where there is one. An address is looked for from its @ on.
 PATTERNS = {
-    "email": re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,24}"),
+    "email": re.compile(r"@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)*\.[A-Za-z]{2,24}"),
     "secret": re.compile(
         r"\b((?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{30,}|sk-[0-9A-Za-z]{20,}|xox[abprs]-[0-9A-Za-z-]{10,})\b"
         r"|(?:(?:pass(?:word|wd)|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?)([0-9A-Za-z+/_\-.]{8,})",
@@ -221,9 +229,97 @@ PATTERNS = {
     "date": re.compile(r"(?<![\d/.-])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})(?![\d/-])"),
 }
 WRITERS = {"email": email, "secret": secret, "iban": iban, "card": card, "ip": ip, "ssn": ssn, "phone": phone, "date": date}
+LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+RUN = re.compile(r"(?<!\d)(?<!\d\.)\d+(?:[ -]\d+)+")  # groups of digits that one separator parts
+# How cards are grouped, longest first; single groups are tried too.
+CARD_GROUPS = ((4, 4, 4, 4, 3), (4, 4, 4, 4), (4, 6, 5), (4, 6, 4))
 POSSIBLE = re.compile(r"[0-9@=:]|gh[pousr]_|sk-|xox")  # every find contains one of these
 
 
+Find = tuple[int, int, str]
+
+
+def find_emails(p: Permutation, text: str) -> Iterator[Find]:
+    """Addresses by their @: the local part is the run before it, read once, so time is linear in the text."""
+    last = 0
+    for found in PATTERNS["email"].finditer(text):
+        start = found.start()
+        while start > last and text[start - 1] in LOCAL:
+            start -= 1
+        while start < found.start() and not text[start].isalnum():
+            start += 1
+        end = last = found.end()
+        while text[end - 1] in ".-":
+            end -= 1  # a full stop that ends the sentence
+        if start < found.start():
+            yield start, end, email(p, text[start:end])
+
+
+def find_cards(p: Permutation, text: str) -> Iterator[Find]:
+    """Cards, also beside other digits: within a run of groups, stretches that are grouped like cards go first.
+
+    Between them, and in runs without them, the longest stretch of 13 to 19 digits is tried, however it is grouped.
+    """
+    sure: list[Find] = []
+    for run in RUN.finditer(text):
+        groups = [m.span() for m in re.finditer(r"\d+", run[0])]
+        sizes = [e - s for s, e in groups]
+        i = 0
+        while i < len(groups):
+            step = 1
+            for shape in ((sizes[i],), *CARD_GROUPS):
+                if tuple(sizes[i : i + len(shape)]) == shape and 13 <= sum(shape) <= 19:
+                    start, end = run.start() + groups[i][0], run.start() + groups[i + len(shape) - 1][1]
+                    new = card(p, text[start:end])
+                    if new is not None:
+                        sure.append((start, end, new))
+                        step = len(shape)
+                        break
+            i += step
+    yield from sure
+    # What remains is searched between the finds, which only their own digits border on.
+    at = 0
+    for start, end in [*((s, e) for s, e, _ in sure), (len(text), len(text))]:
+        for found in PATTERNS["card"].finditer(text, at, start):
+            new = card(p, found[0])
+            if new is not None:
+                yield *found.span(), new
+        at = end
+
+
+def find_ibans(p: Permutation, text: str) -> Iterator[Find]:
+    """Account numbers; where capitals or digits follow, ends at earlier blanks are tried, then later starts."""
+    found = PATTERNS["iban"].search(text)
+    while found:
+        value = found[0]
+        ends = [len(value), *(i for i in range(len(value) - 1, 0, -1) if value[i] == " ")]
+        new, end = next(((new, e) for e in ends if (new := iban(p, value[:e])) is not None), (None, 0))
+        if new is not None:
+            yield found.start(), found.start() + end, new
+        else:
+            end = value.find(" ") if " " in value else len(value)
+        found = PATTERNS["iban"].search(text, found.start() + end)
+
+
+FINDERS = {"email": find_emails, "card": find_cards, "iban": find_ibans}
+
+
+def _finds(p: Permutation, text: str, kind: str) -> Iterator[Find]:
+    """Values of a kind that pass its check: start, end, pseudonym."""
+    if kind in FINDERS:
+        yield from FINDERS[kind](p, text)
+        return
+    for found in PATTERNS[kind].finditer(text):
+        start, end = found.span(found.lastindex or 0)
+        while kind == "secret" and end > start and text[end - 1] in ".-":
+            end -= 1
+        while kind == "phone" and text[start] in " .-":
+            start += 1
+        new = WRITERS[kind](p, text[start:end])
+        if new is not None:
+            yield start, end, new
+
+
 def replace_all(p: Permutation, text: str, kinds: Sequence[str] = KINDS) -> tuple[str, list[dict]]:
     """The text with pseudonyms, and the places of the originals."""
     if not POSSIBLE.search(text):
@@ -232,17 +328,11 @@ def replace_all(p: Permutation, text: str, kinds: Sequence[str] = KINDS) -> tupl
     for kind in kinds:
         if kind == "email" and "@" not in text:
             continue
-        for found in PATTERNS[kind].finditer(text):
-            group = found.lastindex or 0
-            start, end = found.span(group)
-            while kind in ("secret", "email") and end > start and text[end - 1] in ".-":
-                end -= 1  # a full stop that ends the sentence
-            while kind == "phone" and text[start] in " .-":
-                start += 1
-            if any(start < e and s < end for s, e, _, _ in spans):
-                continue
-            new = WRITERS[kind](p, text[start:end])
-            if new is not None:
+        taken = sorted((s, e) for s, e, _, _ in spans)
+        starts = [s for s, _ in taken]
+        for start, end, new in _finds(p, text, kind):
+            before = bisect_left(starts, end) - 1  # finds do not overlap, so only the last before ``end`` can reach in
+            if before < 0 or taken[before][1] <= start:
                 spans.append((start, end, kind, new))
     spans.sort()
     out, at = [], 0

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -110,6 +111,28 @@ def test_equal_values_stay_linked_and_invalid_ones_stay():
         assert pii.replace_all(p, plain) == (plain, [])
 
 
+@pytest.mark.parametrize("text, value", [
+    ("card 4111 1111 1111 1111 12/27", "4111 1111 1111 1111"), ("4111111111111111 123", "4111111111111111"),
+    ("order 7 4111 1111 1111 1111", "4111 1111 1111 1111"), ("2021-03-04 4111-1111-1111-1111 9", "4111-1111-1111-1111"),
+    ("2223 0031 2200 3222", "2223 0031 2200 3222"), ("3782 822463 10005 1234", "3782 822463 10005"),
+    ("BE71 0961 2345 6769 BIC", "BE71 0961 2345 6769"), ("AB12 CDEF GB82 WEST 1234 5698 7654 32 X1", "GB82 WEST 1234 5698 7654 32"),
+    ("..a.b@x.org, c", "a.b@x.org"),
+])
+def test_values_beside_digits_and_capitals(text, value):
+    p, back = pii.Permutation(b"k"), pii.Permutation(b"k", inverse=True)
+    new, spans = pii.replace_all(p, text)
+    assert value not in new and (text.index(value), len(value)) in [(s["start"], s["end"] - s["start"]) for s in spans]
+    assert pii.replace_all(back, new)[0] == text
+
+
+def test_long_runs_take_linear_time():
+    p = pii.Permutation(b"k")
+    for text in ("a." * 300_000 + " @ x", "1 " * 300_000, "AB12 CDEF " * 50_000, "a@" * 200_000, "4111111111111111 " * 2000):
+        start = time.perf_counter()
+        pii.replace_all(p, text)
+        assert time.perf_counter() - start < 10
+
+
 def test_pii_frame(odd, empty, shipped):
     done = pii.pseudonymise(odd, b"k")
     assert done.columns == [*odd.columns, "pii"] and done.filter("size(pii) > 0").count() == 0
@@ -125,6 +148,13 @@ PAGES = [
     ("<body><div class='cookie notice'>We use cookies, ok.</div><main><p>Text.</p><aside>Ad, ad.</aside><div id=comments><p>Reader says, hi.</p></div><form><p>Name</p></form></main>", "Text."),
     ("<div class=menu><a>a</a><a>b</a></div><div class=x><h2>Head</h2><p>Long enough prose, with commas, and so on. It goes on.</p><p>More of it, here, too.</p></div><ul><li><a>l1</a></li></ul>", "Head Long enough prose, with commas, and so on. It goes on. More of it, here, too."),
     ("<script>var a='<p>x</p>';</script><style>p{}</style><article>a &lt; b<!-- <p>no</p> --> c&nbsp;d &#233;</article>", "a < b c d é"),
+    ("<div class='layout has-sidebar'><article><p>One, two.</p></article><div class=sidebar>Side, here.</div></div>", "One, two."),
+    ("<body class='page no-comments'><div class='page no-comments'><p>One, two.</p></div></body>", "One, two."),
+    ("<main class='content with-sidebar'><p>One, two.</p></main>", "One, two."),
+    ("<form action=x><input><div class=menu>a, b</div><article><p>One, two.</p></article></form>", "One, two."),
+    ("<form action=x><div class=nav><a>a</a></div><div><p>One, two, and more text.</p><p>Three.</p></div></form>", "One, two, and more text. Three."),
+    ("<div class=x><p>" + "Long prose, here. " * 20 + "</p><ul><li>item</li></ul><table><tr><td>7</td></tr></table><p>" + "More prose, there. " * 20 + "</p></div><div class=y>z</div>",
+     ("Long prose, here. " * 20 + "item 7 " + "More prose, there. " * 20).strip()),
     ("", ""), (None, ""), ("<p", "<p"), ("<article></article>", ""), ("plain words, no tags.", "plain words, no tags."),
 ]
 
