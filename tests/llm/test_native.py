@@ -124,12 +124,13 @@ def brute_matches(docs, items):
         for item, item_text in items:
             n, want = shingle_list(item_text)
             bag = collections.Counter(want)
-            for s in range(n_doc - n + 1 if want else 0):
-                own = collections.Counter(have[s : s + len(want)])
+            # Windows as long as the item, cut at the ends of the text.
+            for s in range(1 - len(want), len(have) if want else 0):
+                own = collections.Counter(have[max(s, 0) : s + len(want)])
                 same = sum((own & bag).values())
-                value = same / (2 * len(want) - same)
+                value = same / (len(want) + own.total() - same)
                 if value >= 0.8 - 1e-12 and value > out.get((key, item), (0,))[0]:
-                    out[key, item] = (value, s)
+                    out[key, item] = (value, max(s, 0))
     return out
 
 
@@ -160,6 +161,49 @@ def test_decontamination_is_exhaustive(shipped, odd, empty, inline):
     assert kept == {d[0] for d in docs} - {k for k, _ in expected}
 
 
+def test_decontamination_finds_cut_moved_and_long_items(shipped, odd):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(5000)}" for _ in range(100)]
+    other = [f"v{rng.randrange(5000)}" for _ in range(200)]
+    huge = [f"u{rng.randrange(30_000)}" for _ in range(100_000)]
+    docs = [
+        (1, " ".join(words[:95]), ""),
+        (2, " ".join(words[50:] + words[:50]), ""),
+        (3, " ".join(other[:60] + words[50:] + words[:50] + other[60:]), ""),
+        (4, " ".join(words[12:] + other), ""),
+        (5, " ".join(other + words[:85]), ""),
+        (6, " ".join(words[:70]), ""),
+        (7, " ".join(other[:9] + huge[5:] + other), ""),
+        (8, " ".join(other), ""),
+        (9, " ".join(words) + ", \x85", ""),
+    ]
+    benchmark = shipped.createDataFrame([(1, " ".join(words)), (2, " ".join(huge))], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (round(r.similarity, 6), r.start) for r in decontaminate.matches(shipped.createDataFrame(docs, odd.schema), benchmark).collect()}
+    expected = brute_matches([d[:2] for d in docs if d[0] != 7], [(1, " ".join(words))])
+    assert {k for k, _ in expected} == {1, 2, 3, 4, 5, 9}
+    assert got.pop((7, 2))[1] in range(4, 10)
+    assert {k: v[0] for k, v in got.items()} == {k: round(v[0], 6) for k, v in expected.items()}
+
+
+def test_decontamination_keeps_clashing_columns(shipped):
+    schema = "doc_id long, text string, k1 string, k2 string, _k1 long, item string, `row` string, hash string, no int"
+    rows = [(1, "null key, some words here", "a", "b", 3, "c", "d", "e", 4), (2, "other words", "a", "b", 3, "c", "d", "e", 4)]
+    docs = shipped.createDataFrame(rows, schema)
+    benchmark = shipped.createDataFrame([(1, "null key, some words here")], "item_id long, text string")
+    assert [tuple(r) for r in decontaminate.drop_contaminated(docs, benchmark).collect()] == rows[1:]
+    assert [r.asDict()["k1"] for r in decontaminate.matches(docs, benchmark, key="k1").collect()] == ["a"]
+
+
+@pytest.mark.parametrize("limit", [0])
+def test_decontamination_without_broadcast(shipped, odd, limit):
+    rng = random.Random(9)
+    items = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(20))) for i in range(5)]
+    docs = [(k, " ".join([*["x"] * k, items[k % 5][1], *["y"] * k]), "") for k in range(15)]
+    frame, benchmark = shipped.createDataFrame(docs, odd.schema), shipped.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.matches(frame, benchmark, decontaminate.Decontamination(most_broadcast=limit)).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == set(brute_matches([d[:2] for d in docs], items))
+
+
 def test_decontamination_odd_rows(shipped, odd, empty):
     benchmark = shipped.createDataFrame([(1, "null key, some words here"), (2, None)], "item_id long, text string")
     assert [tuple(r) for r in decontaminate.matches(odd, benchmark).select("doc_id", "item_id", "start").collect()] == [(None, 1, 0)]
