@@ -143,7 +143,11 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "t
             lambda kept: F.when(F.size(kept) < F.size(lines), F.array_join(kept, "\n")),
         ),
     )
-    staged = docs.withColumns({"_counts": counts, "_cleaned": cleaning}).withColumns(
+    # The row travels as one column, so no name of its columns can clash.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"]).alias("row")
+    staged = docs.select(row, whole.alias("_whole"), counts.alias("_counts"), cleaning.alias("_cleaned"))
+    whole = F.col("_whole")
+    staged = staged.withColumns(
         {
             "_n_symbols": characters_of(whole, SYMBOL),
             "_n_dup_lines": repeated_lines(whole),
@@ -166,13 +170,12 @@ def assess(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "t
         (~failed & enough).alias("kept"),
         F.coalesce(F.col("_cleaned"), whole).alias("cleaned"),
     )
-    return staged.select(*[F.col(f"`{c}`") for c in docs.columns if c != "quality"], quality.alias("quality"))
+    return staged.select("row.*", quality.alias("quality"))
 
 
 def clean(docs: DataFrame, rules: QualityRules = QualityRules(), text: str = "text") -> DataFrame:
     """Documents that pass, without the lines that fail; the columns of the input."""
-    judged = assess(docs, rules, text).filter(F.col("quality.kept"))
-    changes = {text: F.col("quality.cleaned")}
-    if "n_chars" in docs.columns:
-        changes["n_chars"] = F.length(F.col("quality.cleaned")).cast("long")
-    return judged.withColumns(changes).select(*[f"`{c}`" for c in docs.columns])
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"), F.col(f"`{text}`").alias("text"))
+    judged = assess(rows, rules).filter(F.col("quality.kept"))
+    changes = {text: F.col("quality.cleaned"), "n_chars": F.length(F.col("quality.cleaned")).cast("long")}
+    return judged.select(*[changes.get(c, F.col(f"whole.`{c}`")).alias(c) for c in docs.columns])

@@ -284,11 +284,11 @@ def repeated_passages(docs: DataFrame, window: int = 35, text: str = "text") ->
 
 def dedup(docs: DataFrame, window: int = 35, text: str = "text") -> DataFrame:
     """The input with ``n_words``, ``n_removed``, ``kept`` and ``spans`` of its text."""
-    k1, k2 = text_key(F.col(f"`{text}`"))
-    found = repeated_passages(docs, window, text).withColumnsRenamed({"k1": "_k1", "k2": "_k2"})
-    mine = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept", "spans")]
-    keyed = docs.withColumns({"_k1": k1, "_k2": k2})
-    return keyed.join(found, ["_k1", "_k2"]).select(*[keyed[f"`{c}`"] for c in mine], "n_words", "n_removed", "kept", "spans")
+    found = repeated_passages(docs, window, text)
+    # The row travels as one column, so no name of its columns can clash.
+    mine = [F.col(f"`{c}`") for c in docs.columns if c not in ("n_words", "n_removed", "kept", "spans")]
+    keyed = docs.select(F.struct(*mine).alias("row"), *text_key(F.col(f"`{text}`")))
+    return keyed.join(found, ["k1", "k2"]).select("row.*", "n_words", "n_removed", "kept", "spans")
 
 
 def digest(docs: DataFrame, window: int = 35, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -152,6 +152,12 @@ def brute_passages(docs, window=35):
     return sorted(out, key=str)
 
 
+def test_repeated_passages_keep_clashing_columns(shipped):
+    docs = shipped.createDataFrame([(1, "some words", "a", "b", "c", "d")], ["doc_id", "text", "k1", "_k1", "_k2", "row"])
+    row = substring.dedup(docs).first()
+    assert tuple(row)[:6] == (1, "some words", "a", "b", "c", "d") and row.n_words == 2 and row.n_removed == 0
+
+
 def test_repeated_passages(shipped, odd, empty):
     rng = random.Random(5)
     voc = ["a", "b", "c", "dd", "é", "f."]

@@ -41,6 +41,16 @@ def test_quality_counts(odd, shipped, tables):
             assert not (r.base_failed and r.kept)
 
 
+def test_quality_keeps_clashing_columns(shipped):
+    text = "One line of plain words that is long enough to be kept by every rule here."
+    names = ["doc_id", "text", "_lost", "_counts", "_whole", "_cleaned", "row", "whole", "quality", "n_chars"]
+    docs = shipped.createDataFrame([(1, text, 9, 8, 7, 6, 5, 4, 3, 2)], names)
+    judged = quality.assess(docs).first()
+    assert [judged[n] for n in names[:8]] == [1, text, 9, 8, 7, 6, 5, 4] and judged.quality.kept
+    kept = quality.clean(docs)
+    assert kept.columns == names and tuple(kept.first()) == (1, text, 9, 8, 7, 6, 5, 4, 3, len(text))
+
+
 def test_quality_verdicts(shipped, odd, empty):
     prose = "Here is a sentence with quite ordinary words in it, and one more of them."
     # Words of its own: a second copy of the first line would fail the base rule on repeated windows.
