@@ -5,12 +5,16 @@ neighbours at once, by binary search in the sorted keys of the mergeable pairs;
 the pair of lowest rank is merged wherever it stands, and the array is packed. Rounds end when no word
 has a mergeable pair. A word leaves the array as soon as it is done.
 
+A very long word has thousands of rounds, each of which merges little of it. Such a word is taken alone: places
+are kept by the rank of their pair, and a round looks up only the pairs beside its merges.
+
 Word results are kept per Python worker, so each distinct word is merged about once.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,6 +26,7 @@ from pyspark.sql import functions as F
 from gablework.llm.pretokens import Splitter, Tokens, WordCache, byte_letters, load, text_batches
 
 NO_PAIR = np.iinfo(np.int64).max
+LONG_WORD = 4_000  # symbols above which a word's rounds are its own
 
 
 class MergeTable:
@@ -53,6 +58,12 @@ class MergeTable:
         symbols[ends[solid] - 1] = self.last[bytes_[ends[solid] - 1]]
         word = np.repeat(np.arange(len(words)), lengths)
         done_symbols, done_words = [], []
+        for i in np.flatnonzero(lengths > LONG_WORD):
+            done_symbols.append(self._merge_alone(symbols[ends[i] - lengths[i] : ends[i]]))
+            done_words.append(np.full(len(done_symbols[-1]), i))
+        if done_words:
+            short = lengths[word] <= LONG_WORD
+            symbols, word = symbols[short], word[short]
         while len(symbols):
             rank, spot = self._pairs(symbols, word)
             firsts = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
@@ -75,6 +86,57 @@ class MergeTable:
         order = np.argsort(owner, kind="stable")
         return flat[order], np.bincount(owner, minlength=len(words))
 
+    def _merge_alone(self, symbols: np.ndarray) -> np.ndarray:
+        """Ids of one word; a round costs what it merges."""
+        n = len(symbols)
+        symbols = np.r_[symbols, -1]  # place n: the end
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        rank, spot = np.full(n + 1, NO_PAIR), np.zeros(n + 1, np.int64)
+        places: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def look_up(at: np.ndarray) -> None:
+            right = symbols[after[at]]
+            key = symbols[at] << 32 | right
+            place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            found = (right >= 0) & (self.keys[place] == key)
+            rank[at] = np.where(found, self.ranks[place], NO_PAIR)
+            spot[at] = place
+            at = at[found]
+            order = np.argsort(rank[at], kind="stable")
+            at = at[order]
+            firsts = np.flatnonzero(np.diff(rank[at], prepend=-1))
+            for own in np.split(at, firsts[1:]) if len(at) else []:
+                r = int(rank[own[0]])
+                if r not in places:
+                    heapq.heappush(ranks, r)
+                places.setdefault(r, []).append(own)
+
+        look_up(np.arange(n))
+        while ranks:
+            lowest = heapq.heappop(ranks)
+            at = np.unique(np.concatenate(places.pop(lowest)))
+            at = at[rank[at] == lowest]
+            if not len(at):
+                continue
+            # Of overlapping pairs (aaa), every second one from the left.
+            chained = np.r_[False, after[at[:-1]] == at[1:]]
+            place = np.arange(len(at))
+            at = at[(place - np.maximum.accumulate(np.where(chained, 0, place))) % 2 == 0]
+            gone = after[at]
+            symbols[at] = self.made[spot[at]]
+            rank[gone] = NO_PAIR
+            after[at] = after[gone]
+            before[after[at]] = at
+            left = before[at]
+            look_up(np.unique(np.r_[at, left[left >= 0]]))
+        alive = []
+        at = 0
+        while at < n:
+            alive.append(at)
+            at = int(after[at])
+        return symbols[alive]
+
     def _pairs(self, symbols: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank of the pair that starts at each symbol, and its place in the table."""
         rank = np.full(len(symbols), NO_PAIR)

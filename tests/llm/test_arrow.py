@@ -41,6 +41,21 @@ def test_bpe_equals_the_library_on_all_characters(library):
         assert bpe.merge_table(word_bpe()).decode(found.ids) == library.decode(found.ids, skip_special_tokens=False)
 
 
+def test_bpe_of_long_words(library):
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = ["a" * n for n in (4_001, 5_000, 8_191)]
+    texts += ["".join(rng.choice(x) for _ in range(9_000)) for x in (letters, "ab", "the", "éaΣ", "etaoin")]
+    texts += ["short " + "".join(rng.choice(letters) for _ in range(6_000)) + " words " + "xyz" * 2_000]
+    flat, lengths = bpe.encode_texts(word_bpe(), texts)
+    ends = np.cumsum(lengths)
+    for start, end, found in zip(ends - lengths, ends, library.encode_batch(texts, add_special_tokens=False)):
+        assert flat[start:end].tolist() == found.ids
+    start = time.perf_counter()
+    bpe.encode_texts(word_bpe(), ["".join(rng.choices(letters, k=300_000))])
+    assert time.perf_counter() - start < 20
+
+
 def test_bpe_digest_and_columns(odd, empty, library):
     rows = {(r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in bpe.digest(odd, word_bpe()).collect()}
     expected = set()
