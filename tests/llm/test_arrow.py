@@ -179,6 +179,33 @@ def test_main_text(html, text):
     assert html_text.main_text(html or "") == text
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<a b=\"" * 150_000, "<a b=\"" * 150_001 + ">", "<a b='x\"" * 100_000 + ">'", "<a " * 300_000 + "\">\"", "<a<" * 300_000, "<!" * 500_000,
+        "<div>text " * 100_000, "<h1>text " * 100_000, "<b>text " * 50_000 + "</i>" * 100_000, "<script/>" * 100_000, "<p>" + "<li>text, more. " * 60_000,
+        "<div><p>" + "Some prose, with commas and stops. " * 30 + "</p>" + "<div>short " * 100_000,
+    ],
+)
+def test_pages_take_linear_time(page):
+    start = time.perf_counter()
+    html_text.main_text(page)
+    assert time.perf_counter() - start < 10
+
+
+def test_quotes_that_do_not_close():
+    assert [x[3:] for x in _pieces("<p a=\"x>y\">t<b c='>d<i>")] == [("p", ' a="x>y"'), ("i", "")]
+    assert [x[3] for x in _pieces("<a \"<b \"<c>")] == ["a"]
+    assert [x[3] for x in _pieces("<!-- <a> --><a><!doctype x><? y ?><!-- <b>")] == ["", "a", "", "", ""]
+
+
+def _pieces(page):
+    tags, at = html_text.Tags(page), 0
+    while (found := tags.find(at)) is not None:
+        yield found
+        at = found[1]
+
+
 def test_pages_frame(shipped):
     frame = shipped.createDataFrame([(i, h, "x") for i, (h, _) in enumerate(PAGES)], "page_id long, html string, text string")
     got = html_text.extract(frame)
