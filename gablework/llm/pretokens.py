@@ -83,6 +83,22 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
+def word_tokenizer(path: str):
+    """The library's tokenizer for words as ``Splitter`` cuts them, normalised and set apart by blanks.
+
+    Vocabulary, merges, bytes and special tokens are the file's; what the words have been through already,
+    normalisation and the split pattern, is left out.
+    """
+    from tokenizers import Tokenizer
+
+    load(path)  # refuses files of another kind
+    with open(path, encoding="utf-8") as source:
+        whole = json.load(source)
+    whole |= {"normalizer": None, "truncation": None, "padding": None}
+    whole["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+    return Tokenizer.from_str(json.dumps(whole))
+
+
 class Splitter:
     """Cuts texts into the words that merges work on; special tokens stay whole."""
 

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gablework.llm.pretokens import Splitter, WordCache, _library, load, text_batches
+from gablework.llm.pretokens import Splitter, WordCache, load, text_batches, word_tokenizer
 
 
 @dataclass(frozen=True)
@@ -52,16 +52,14 @@ class TokenLayout:
 @lru_cache(maxsize=2)
 def _cache(vocabulary: str) -> WordCache:
     """Ids of whole words from the tokenizers library; merges never cross words, so texts follow."""
-    tokenizer, tokens = _library(vocabulary), load(vocabulary)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
+    tokenizer, tokens = word_tokenizer(vocabulary), load(vocabulary)
     closing = np.zeros(max([*tokens.vocabulary.values(), *tokens.specials.values()]) + 1, bool)
     closing[[i for t, i in tokens.vocabulary.items() if t.endswith(tokens.suffix)]] = True
     closing[list(tokens.specials.values())] = True
 
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words set apart by blanks are encoded many at a time; the last id of each is one that closes a word."""
-        runs = [" ".join(words[i : i + 2_000]) for i in range(0, len(words), 2_000)]
+        runs = [" ".join(words[i : i + 200]) for i in range(0, len(words), 200)]
         found = [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(found), np.int64)
         lengths = np.diff(np.flatnonzero(closing[flat]), prepend=-1)

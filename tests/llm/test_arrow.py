@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from gablework.llm import bpe, html_text, pii, token_files, toxicity
+from gablework.llm import bpe, html_text, pii, pretokens, token_files, toxicity
 from gablework.llm.queries import word_bpe
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -41,6 +41,18 @@ def test_bpe_equals_the_library_on_all_characters(library):
         assert bpe.merge_table(word_bpe()).decode(found.ids) == library.decode(found.ids, skip_special_tokens=False)
 
 
+def test_cached_words_are_not_normalised_again(library):
+    words = ["the", "'s", "7", "!!", "é", "ß", "σ", "ǆ", "漢字", "<|endoftext|>", "a" * 300]
+    plain = pretokens.word_tokenizer(word_bpe())
+    assert plain.normalizer is None and type(plain.pre_tokenizer[0]).__name__ == "WhitespaceSplit"
+    for run in ([*words], words[::-1], [w for w in words for _ in range(150)]):
+        assert plain.encode(" ".join(run), add_special_tokens=False).ids == library.encode(" ".join(run), add_special_tokens=False).ids
+    encode = token_files._cache(word_bpe()).encode
+    flat, lengths = encode(words * 40)
+    assert flat.tolist() == [i for w in words * 40 for i in library.encode(w, add_special_tokens=False).ids]
+    assert len(lengths) == 40 * len(words)
+
+
 def test_bpe_of_long_words(library):
     rng = random.Random(6)
     letters = "abcdefghijklmnopqrstuvwxyz"
