@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from gablework.functions import spreading
 from gablework.functions.spreading import partitions_of, spread_rows
 
 
@@ -65,3 +66,12 @@ def test_slices_stay_below_the_bound_whatever_the_table(spark):
     parts = out.filter("x = -1").groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in parts) == 60 and len(parts) >= 4
     assert out.count() == 50_000
+
+
+def test_without_heavy_groups_nothing_is_grouped(copies, monkeypatch):
+    """Rows lie where the grouped form puts them, and copies are looked for in one pass."""
+    few = copies.filter("k <> 'hot'")
+    grouped = spreading._sliced(few, few.columns, [0, 1, 2], 1 << 10, 400).repartition(6, "x", "k", "_slice")
+    expected = layout(spreading._repeat(grouped, F.col("_copies")).select("x", "k").sortWithinPartitions("x", "k"))
+    monkeypatch.setattr(spreading, "_sliced", None)
+    assert layout(spread_rows(few, rows=6000, partitions=6, rows_per_task=400)) == expected
