@@ -117,3 +117,13 @@ def test_components_are_orthonormal_and_ordered(sample, scale_first):
         assert explained[0] == pytest.approx(
             np.linalg.eigvalsh(np.cov(frame[["a", "b", "noise"]].T)).max() / frame[["a", "b", "noise"]].var().sum()
         )
+
+
+def test_few_quantile_sketches_meet_in_the_task_that_merges_them(spark, monkeypatch):
+    rows = spark.range(600).select(F.pmod("id", F.lit(37)).cast("double").alias("a"), (F.col("id") * 1.0).alias("b"), F.sqrt("id").alias("y"))
+    partitions, fit = [], ft.QuantileDiscretizer.fit
+    monkeypatch.setattr(ft.QuantileDiscretizer, "fit", lambda self, df: partitions.append(df.rdd.getNumPartitions()) or fit(self, df))
+    many = ft.chi_squared(rows.repartition(90), ["a", "b"], "y", feature_bins=5).orderBy("feature_index").collect()
+    assert max(partitions) <= 64
+    assert [r["degrees_of_freedom"] for r in many] == [4 * 9, 4 * 9]
+    assert many[0]["p_value"] > 0.01 > many[1]["p_value"]
