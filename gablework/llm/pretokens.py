@@ -16,6 +16,9 @@ from dataclasses import dataclass
 from functools import lru_cache
 from itertools import chain
 
+import pyarrow as pa
+import pyarrow.compute as pc
+
 # The file's split pattern.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 BEYOND = re.compile("[\u0500-\U0010FFFF]")
@@ -83,11 +86,11 @@ def _library(path: str):
     return Tokenizer.from_file(path)
 
 
-def word_tokenizer(path: str):
+def word_tokenizer(path: str, in_letters: bool = False):
     """The library's tokenizer for words as ``Splitter`` cuts them, normalised and set apart by blanks.
 
     Vocabulary, merges, bytes and special tokens are the file's; what the words have been through already,
-    normalisation and the split pattern, is left out.
+    normalisation and the split pattern, is left out, and with ``in_letters`` the step from bytes to letters too.
     """
     from tokenizers import Tokenizer
 
@@ -95,7 +98,10 @@ def word_tokenizer(path: str):
     with open(path, encoding="utf-8") as source:
         whole = json.load(source)
     whole |= {"normalizer": None, "truncation": None, "padding": None}
-    whole["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+    steps = whole["pre_tokenizer"]["pretokenizers"]
+    steps[0] = {"type": "WhitespaceSplit"}
+    if in_letters:
+        del steps[1:]
     return Tokenizer.from_str(json.dumps(whole))
 
 
@@ -106,7 +112,9 @@ class Splitter:
         tokens = load(path)
         self.path = path
         self.specials = tokens.specials
-        self.find = _split_below_u0500().findall
+        split = _split_below_u0500()
+        self.find = split.findall
+        self.find_in_lines = re.compile(f"{split.pattern}|\n").findall
         marks = sorted(map(re.escape, tokens.specials), key=len, reverse=True)
         self.mark = re.compile("(" + "|".join(marks) + ")") if marks else None
 
@@ -135,10 +143,33 @@ class Splitter:
                 found += self.cut(piece)
         return found
 
+    def spaced(self, text: str) -> str:
+        """The normalised text, or its words set apart by blanks: ``pieces`` goes on from either, cut at ASCII blanks."""
+        lowered = self.normalise(text)
+        if self.odd(lowered) or any(s in text for s in self.specials):
+            return " ".join(self.words(text))
+        return lowered
+
+    def odd(self, text: str) -> bool:
+        return not text.isascii() and bool(BEYOND.search(text)) or any(s in text for s in self.specials)
+
+    def pieces(self, joined: str) -> tuple[list[str], dict[int, str]]:
+        """Words of the pieces of ``spaced`` texts, joined by line breaks, and the breaks; by piece, those that are words as they are.
+
+        No word spans a blank. Pieces that are words already have "0" in the list.
+        """
+        whole: dict[int, str] = {}
+        if self.odd(joined):
+            every = joined.split("\n")
+            whole = {i: p for i, p in enumerate(every) if self.odd(p)}
+            joined = "\n".join(["0" if i in whole else p for i, p in enumerate(every)])
+        return self.find_in_lines(joined), whole
+
 
 class WordCache(dict):
     """Word number by word, with the ids of each word in one flat array.
 
+    Texts are cut at blanks and the distinct pieces found by Arrow; only these are split into words.
     Unknown words are numbered on first sight and encoded together by ``encode``, which
     takes a list of words and returns flat ids and lengths. Past ``bound`` words the cache
     starts anew, so a worker's memory stays bounded.
@@ -153,9 +184,10 @@ class WordCache(dict):
 
     def _reset(self) -> None:
         self.clear()
+        self["\n"] = 0  # sets pieces apart and has no ids
         self.pending: list[str] = []
         self.flat = self.np.empty(0, self.np.int32)
-        self.starts = self.np.zeros(1, self.np.int64)
+        self.starts = self.np.zeros(2, self.np.int64)
 
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
@@ -167,22 +199,32 @@ class WordCache(dict):
         np = self.np
         if len(self) > self.bound:
             self._reset()
-        split, look = self.splitter.words, self.__getitem__
-        lists = [list(map(look, split(t))) for t in texts]
+        spaced = pa.array(list(map(self.splitter.spaced, texts)), pa.large_string())
+        cut = pc.ascii_split_whitespace(spaced)
+        coded = cut.values.dictionary_encode()
+        pieces = pa.ListArray.from_arrays(pa.array([0, len(coded.dictionary)], pa.int32()), coded.dictionary)
+        found, whole = self.splitter.pieces(pc.binary_join(pieces, pa.scalar("\n", pa.large_string()))[0].as_py())
+        words = np.fromiter(map(self.__getitem__, found), np.int64, len(found))
+        borders = np.r_[0, np.flatnonzero(words == 0), len(words)]
+        for i, word in whole.items():
+            words[borders[i + 1] - 1] = self[word]
         if self.pending:
             flat, lengths = self.encode(self.pending)
             self.pending = []
             self.flat = np.concatenate([self.flat, np.asarray(flat, np.int32)])
             ends = self.starts[-1] + np.cumsum(np.asarray(lengths, np.int64))
             self.starts = np.concatenate([self.starts, ends])
-        counts = np.fromiter(map(len, lists), np.int64, len(lists))
-        words = np.fromiter(chain.from_iterable(lists), np.int64, int(counts.sum()))
-        lengths = np.diff(self.starts)[words]
+        flat, starts = self._gather(self.flat, self.starts, words)
+        flat, starts = self._gather(flat, starts[borders], coded.indices.to_numpy())
+        return flat, np.diff(starts[cut.offsets.to_numpy()])
+
+    def _gather(self, flat, starts, chosen):
+        """The chosen runs of ``flat`` end to end, and where each starts (and the last ends)."""
+        np = self.np
+        lengths = np.diff(starts)[chosen]
         ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        places = np.repeat(self.starts[words] - (ends - lengths), lengths) + np.arange(total)
-        borders = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        return self.flat[places], np.diff(borders)
+        places = np.repeat(starts[chosen] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
+        return flat[places], np.r_[0, ends]
 
 
 def text_batches(batch, column: str = "text", most: int = 1 << 20):

@@ -13,6 +13,7 @@ equal keys are ordered by a hash of their text; other columns are not written; a
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -25,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from gablework.llm.pretokens import Splitter, WordCache, load, text_batches, word_tokenizer
+from gablework.llm.pretokens import Splitter, WordCache, byte_letters, load, text_batches, word_tokenizer
 
 
 @dataclass(frozen=True)
@@ -52,7 +53,11 @@ class TokenLayout:
 @lru_cache(maxsize=2)
 def _cache(vocabulary: str) -> WordCache:
     """Ids of whole words from the tokenizers library; merges never cross words, so texts follow."""
-    tokenizer, tokens = word_tokenizer(vocabulary), load(vocabulary)
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
+    tokens = load(vocabulary)
+    in_letters = all(map(str.isascii, tokens.specials))  # bytes of ASCII are their own letters
+    tokenizer = word_tokenizer(vocabulary, in_letters)
+    letters = np.array([ord(" ") if b == 0x20 else ord(x) for b, x in enumerate(byte_letters())], "<u4")
     closing = np.zeros(max([*tokens.vocabulary.values(), *tokens.specials.values()]) + 1, bool)
     closing[[i for t, i in tokens.vocabulary.items() if t.endswith(tokens.suffix)]] = True
     closing[list(tokens.specials.values())] = True
@@ -60,6 +65,8 @@ def _cache(vocabulary: str) -> WordCache:
     def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words set apart by blanks are encoded many at a time; the last id of each is one that closes a word."""
         runs = [" ".join(words[i : i + 200]) for i in range(0, len(words), 200)]
+        if in_letters:
+            runs = [letters[np.frombuffer(r.encode(), np.uint8)].tobytes().decode("utf-32-le") for r in runs]
         found = [e.ids for e in tokenizer.encode_batch_fast(runs, add_special_tokens=False)]
         flat = np.fromiter(chain.from_iterable(found), np.int64)
         lengths = np.diff(np.flatnonzero(closing[flat]), prepend=-1)
@@ -67,7 +74,7 @@ def _cache(vocabulary: str) -> WordCache:
             raise ValueError("the vocabulary does not mark where words end")
         return flat, lengths
 
-    return WordCache(Splitter(vocabulary), encode)
+    return WordCache(Splitter(vocabulary), encode, bound=400_000)
 
 
 def write_tokens(
@@ -87,7 +94,7 @@ def write_tokens(
         part, before = TaskContext.get().partitionId(), 0
         cache = _cache(vocabulary)
         for batch in batches:
-            for first, texts in text_batches(batch, "_text"):
+            for first, texts in text_batches(batch, "_text", 2 << 20):
                 flat, lengths = cache.ids(texts)
                 flat = np.insert(flat, np.cumsum(lengths), end_id)
                 lengths = lengths + 1

@@ -53,6 +53,38 @@ def test_cached_words_are_not_normalised_again(library):
     assert len(lengths) == 40 * len(words)
 
 
+def test_words_are_looked_up_once_for_all_texts_of_a_run(library):
+    class Counted(pretokens.WordCache):
+        looked = 0
+
+        def __getitem__(self, word):
+            Counted.looked += 1
+            return super().__getitem__(word)
+
+    plain = token_files._cache(word_bpe())
+    for odd in ("", " 漢字漢 <|endoftext|>x <|ENDOFTEXT|> a\x1cb\tc\x85d\xa0e  \n\n'S it's ''s 0"):
+        Counted.looked = 0
+        cache = Counted(plain.splitter, plain.encode)
+        texts = [" ".join(f"word{i}, It's" for i in range(100)) + odd] * 200 + ["", " \n", "0"]
+        flat, lengths = cache.ids(texts)
+        assert Counted.looked < 2_000  # 200 texts of 600 words
+        found = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert flat.tolist() == [i for ids in found for i in ids] and lengths.tolist() == list(map(len, found))
+    flat, lengths = cache.ids([])
+    assert len(flat) == len(lengths) == 0
+
+
+def test_words_reach_the_library_in_letters_of_their_bytes(library):
+    tokenizer = pretokens.word_tokenizer(word_bpe(), in_letters=True)
+    assert tokenizer.normalizer is None and type(tokenizer.pre_tokenizer[0]).__name__ == "WhitespaceSplit"
+    with pytest.raises(IndexError):
+        tokenizer.pre_tokenizer[1]
+    words = ["the", "'s", "\x01\x7f", "é", "σ", "漢字", "😀", "<|endoftext|>", "a" * 300, "\xad"]
+    flat, lengths = token_files._cache(word_bpe()).encode(words * 50)
+    found = [library.encode(w, add_special_tokens=False).ids for w in words * 50]
+    assert flat.tolist() == [i for ids in found for i in ids] and lengths.tolist() == list(map(len, found))
+
+
 def test_bpe_of_long_words(library):
     rng = random.Random(6)
     letters = "abcdefghijklmnopqrstuvwxyz"
